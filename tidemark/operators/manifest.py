@@ -22,11 +22,13 @@ def located(files: DataFrame) -> DataFrame:
 def latest_snapshot_files(files: DataFrame) -> DataFrame:
     """All files of the newest folder (greatest as text) of each client and table.
 
-    An aggregate and a join rather than a window: the maximum is combined
-    before the shuffle, so a tenant with most of the files is not one task.
+    An aggregate and a join rather than a window: folders are reduced to their
+    names before the shuffle, so a tenant with most of the files is not one
+    task, and the text maximum (which Spark sorts for) sees only those names.
     """
     files = located(files)
-    newest = files.groupBy("client_id", "table_id").agg(F.max("tabledata_folder").alias("tabledata_folder"))
+    folders = files.select("client_id", "table_id", "tabledata_folder").distinct()
+    newest = folders.groupBy("client_id", "table_id").agg(F.max("tabledata_folder").alias("tabledata_folder"))
     return files.join(newest, ["client_id", "table_id", "tabledata_folder"])
 
 

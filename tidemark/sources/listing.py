@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import CHANGE_FILE_PATTERN, SNAPSHOT_FILE_PATTERN
+from tidemark.sinks.scratch import materialize
+
+_MAX_PARTITIONS_CONF = "spark.sql.files.maxPartitionNum"
+LISTING_PARTITIONS = 1024
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -21,6 +27,26 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@contextmanager
+def _few_partitions(spark: SparkSession):
+    """Scan partitions are cut by file size; a scan that opens no file needs few."""
+    before = spark.conf.get(_MAX_PARTITIONS_CONF, None)
+    spark.conf.set(_MAX_PARTITIONS_CONF, LISTING_PARTITIONS)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_MAX_PARTITIONS_CONF)
+        else:
+            spark.conf.set(_MAX_PARTITIONS_CONF, before)
+
+
+def take_listing(spark: SparkSession, root: str) -> DataFrame:
+    """The listing as a written table: one moment's files, read as often as needed."""
+    with _few_partitions(spark):
+        return materialize(spark, list_files(spark, root), "listing")
+
+
 def matching(listing: DataFrame, pattern: str) -> DataFrame:
     """Rows whose whole path matches the pattern."""
     return listing.filter(F.col("full_file_path").rlike(f"^(?:{pattern})$"))
