@@ -121,7 +121,7 @@ def update_where(target: DataFrame, condition: Column, assignments: dict[str, Co
 def delete_keys(target: DataFrame, column: str, values: list[str] | DataFrame) -> DataFrame:
     """Rows whose column is not among the values (a list, or a DataFrame with that column); NULL stays."""
     if isinstance(values, DataFrame):
-        return target.join(values.select(column), column, "left_anti")
+        return target.join(values.select(column), column, "left_anti").select(*target.columns)
     return target.filter(~F.coalesce(F.col(column).isin(values), F.lit(False)))
 
 
