@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.values import computed_once
+
 # The path patterns of the landing zone.
 CLIENT_PATTERN = r"/([^/]+)/Tables/"
 TABLE_PATTERN = r"/Tables/([^/]+)/"
@@ -47,18 +49,25 @@ def listing_time(text: Column) -> Column:
     return F.to_timestamp(F.substr(text, F.lit(6)), LISTING_TIME_FORMAT)
 
 
+PATH_PARTS = ("client_id", "table_id", "tabledata_folder", "filename", "relative_path")
+
+
 def parse_paths(listing: DataFrame) -> DataFrame:
-    """``full_file_path, last_modified`` plus every part read from the path."""
+    """``full_file_path, last_modified`` plus every part read from the path; a parsed listing stays as it is."""
+    if set(PATH_PARTS) <= set(listing.columns):
+        return listing
     path = F.col("full_file_path")
     modified = F.col("last_modified")
     if dict(listing.dtypes)["last_modified"] == "string":
         modified = listing_time(modified)
-    return listing.select(
-        path,
-        modified.alias("last_modified"),
-        client_of(path).alias("client_id"),
-        table_of(path).alias("table_id"),
-        folder_of(path).alias("tabledata_folder"),
-        filename_of(path).alias("filename"),
-        zone_relative(path).alias("relative_path"),
+    return computed_once(
+        listing.select(
+            path,
+            modified.alias("last_modified"),
+            client_of(path).alias("client_id"),
+            table_of(path).alias("table_id"),
+            folder_of(path).alias("tabledata_folder"),
+            filename_of(path).alias("filename"),
+            zone_relative(path).alias("relative_path"),
+        )
     )

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# What a change file writes for NULL, and boolean words Spark's own cast lacks.
+# What a change file writes for NULL, the boolean words in any case, the width of a log number.
 NULL_WORDS = ("NULL", "null")
-TRUE_WORD = "on"
-FALSE_WORD = "off"
+TRUE_WORDS = ("true", "t", "yes", "y", "on", "1")
+FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
 LSN_HEX_DIGITS = 24
 
 _HALF = LSN_HEX_DIGITS // 2
@@ -36,12 +36,9 @@ def lsn_number(text: Column) -> Column:
 
 
 def to_boolean(text: Column) -> Column:
-    word = F.lower(text)
-    return (
-        F.when(word == TRUE_WORD, F.lit(True))
-        .when(word == FALSE_WORD, F.lit(False))
-        .otherwise(text.try_cast("boolean"))
-    )
+    """Boolean words; unlike Spark's cast this knows ``on`` and ``off``."""
+    word = F.lower(F.trim(text))
+    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
 
 
 def soft_cast(value: Column, source_type: str, target_type: str) -> Column:
@@ -82,3 +79,14 @@ def scope_items(scope: str | list[str] | None, upper: bool = False) -> list[str]
     if upper:
         items = [item.upper() for item in items]
     return items or None
+
+
+def computed_once(frame: DataFrame) -> DataFrame:
+    """The same rows, with the columns so far computed exactly once.
+
+    Catalyst moves a filter below the columns it uses and copies their
+    expressions into it. For a filter on a parse result that means parsing
+    every row twice, and once more per further filter. It does not move filters
+    below a generator, so the rows pass through one that yields each as it is.
+    """
+    return frame.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in frame.columns]))))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import client_of
-from tidemark.functions.values import lsn_number, soft_cast
+from tidemark.functions.values import computed_once, lsn_number, soft_cast
 from tidemark.registry import TENANT_COLUMN, TableSpec
 
 CHANGE_COLUMNS = ("lsn", "seq", "change_type")
@@ -51,7 +51,7 @@ def project_snapshot(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Snapshot rows as the spec's columns plus ``_file, _row, _reject``."""
     typed = _typed(raw, spec, [])
     reasons = _cast_reasons(typed, spec.columns, lenient_times=False) + _null_reasons(spec.columns)
-    return typed.select(*spec.column_names, "_file", "_row", _first_reason(reasons).alias("_reject"))
+    return computed_once(typed.select(*spec.column_names, "_file", "_row", _first_reason(reasons).alias("_reject")))
 
 
 def project_changes(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -79,7 +79,9 @@ def project_changes(raw: DataFrame, spec: TableSpec) -> DataFrame:
     key_nulls = F.when(F.col("change_type").isin(1, 2, 4), _first_reason(_null_reasons(keys)))
     payload_nulls = F.when(F.col("change_type").isin(2, 4), _first_reason(_null_reasons(payload)))
     reject = _first_reason(envelope + casts + [key_nulls, payload_nulls])
-    return typed.select(*CHANGE_COLUMNS, *spec.column_names, "_file", "_row", reject.alias("_reject"))
+    return computed_once(
+        typed.select(*CHANGE_COLUMNS, *spec.column_names, "_file", "_row", reject.alias("_reject"))
+    )
 
 
 def accepted(rows: DataFrame) -> DataFrame:

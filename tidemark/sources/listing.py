@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.paths import CHANGE_FILE_PATTERN, SNAPSHOT_FILE_PATTERN
+from tidemark.functions.paths import CHANGE_FILE_PATTERN, SNAPSHOT_FILE_PATTERN, parse_paths
 from tidemark.sinks.scratch import materialize
 
 _MAX_PARTITIONS_CONF = "spark.sql.files.maxPartitionNum"
@@ -18,6 +18,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root`` with its modification time.
 
     ``binaryFile`` lists in parallel and, with ``content`` not selected, opens nothing.
+    It leaves out files of zero bytes, which hold no rows either.
     """
     return (
         spark.read.format("binaryFile")
@@ -42,9 +43,9 @@ def _few_partitions(spark: SparkSession):
 
 
 def take_listing(spark: SparkSession, root: str) -> DataFrame:
-    """The listing as a written table: one moment's files, read as often as needed."""
+    """The parsed listing as a written table: one moment's files, read as often as needed."""
     with _few_partitions(spark):
-        return materialize(spark, list_files(spark, root), "listing")
+        return materialize(spark, parse_paths(list_files(spark, root)), "listing")
 
 
 def matching(listing: DataFrame, pattern: str) -> DataFrame:
