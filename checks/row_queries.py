@@ -47,7 +47,7 @@ def typed_cast(spark, sf):
     lines = feeds.dirty_lines(spark, sf)
 
     def cast(name, kind):
-        return soft_cast(F.col(name), "string", kind)
+        return F.expr(soft_cast(name, "string", kind))
 
     return lines.select(
         "l_orderkey",
@@ -62,19 +62,19 @@ def typed_cast(spark, sf):
 
 def try_timestamp(spark, sf):
     lines = feeds.dirty_lines(spark, sf)
-    return lines.select("l_orderkey", "time_text", soft_cast(F.col("time_text"), "string", "timestamp_ntz").alias("at"))
+    return lines.select("l_orderkey", "time_text", F.expr(soft_cast("time_text", "string", "timestamp_ntz")).alias("at"))
 
 
 def csv_null_rules(spark, sf):
     """The reader gives NULL for an unquoted empty field; here line 2 keeps it quoted, and short rows end before it."""
     lines = feeds.dirty_lines(spark, sf)
     raw = F.when(F.col("l_linenumber") == 2, F.col("number_text")).otherwise(F.nullif("number_text", F.lit("")))
-    return lines.select(
+    return lines.withColumn("raw", raw).select(
         "l_orderkey",
         "l_linenumber",
-        csv_field(raw).alias("number_field"),
-        csv_field(F.col("flag_text")).alias("flag_field"),
-        csv_field(raw, F.col("l_linenumber") > 5).alias("short_row_field"),
+        F.expr(csv_field("raw")).alias("number_field"),
+        F.expr(csv_field("flag_text")).alias("flag_field"),
+        F.expr(csv_field("raw", "l_linenumber > 5")).alias("short_row_field"),
     )
 
 
@@ -98,7 +98,7 @@ def accept_rows(spark, sf):
 def change_rejects(spark, sf):
     """The same text as change rows: NULL words are NULL, and what is refused depends on the change type."""
     raw = _raw_lines(spark, sf)
-    fields = {c.name: csv_field(F.col(c.name)) for c in LINES.columns}
+    fields = {c.name: F.expr(csv_field(c.name)) for c in LINES.columns}
     kind = F.when(F.col("_flag") == "A", "4").when(F.col("_flag") == "N", "1").otherwise("3")
     changes = raw.withColumns(
         fields

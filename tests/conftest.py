@@ -11,6 +11,7 @@ def spark(tmp_path_factory):
         .appName("tidemark-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))

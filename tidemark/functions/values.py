@@ -35,13 +35,21 @@ def lsn_number(text: Column) -> Column:
     return hex_number(F.substr(text, F.lit(3)))
 
 
-def to_boolean(text: Column) -> Column:
+def _words(words: tuple[str, ...]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+# The per-field rules below take and give SQL text: a table has up to a hundred
+# fields, and one parsed expression is far cheaper to build than ten Column calls.
+
+
+def to_boolean(text: str) -> str:
     """Boolean words; unlike Spark's cast this knows ``on`` and ``off``."""
-    word = F.lower(F.trim(text))
-    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
+    word = f"lower(trim({text}))"
+    return f"CASE WHEN {word} IN ({_words(TRUE_WORDS)}) THEN true WHEN {word} IN ({_words(FALSE_WORDS)}) THEN false END"
 
 
-def soft_cast(value: Column, source_type: str, target_type: str) -> Column:
+def soft_cast(value: str, source_type: str, target_type: str) -> str:
     """Cast that gives NULL for a bad value, so the caller can tell a reject from a NULL."""
     if target_type == source_type:
         return value
@@ -52,18 +60,18 @@ def soft_cast(value: Column, source_type: str, target_type: str) -> Column:
     )
     if numeric and target_type == "timestamp_ntz":
         # No direct cast exists; as text a bare number is not a timestamp and so a reject.
-        value = value.cast("string")
-    return value.try_cast(target_type)
+        value = f"CAST({value} AS string)"
+    return f"try_cast({value} AS {target_type})"
 
 
-def csv_field(raw: Column, beyond_row_end: Column | None = None) -> Column:
+def csv_field(raw: str, beyond_row_end: str | None = None) -> str:
     """Null rule of the change files: only the words are NULL, an empty field is ''.
 
     The reader cannot tell an unquoted empty field from a missing one and gives
     NULL for both; ``beyond_row_end`` marks the fields a short row lacks.
     """
-    empty = F.lit("") if beyond_row_end is None else F.when(beyond_row_end, F.lit(None)).otherwise(F.lit(""))
-    return F.when(raw.isNull(), empty).when(~raw.isin(*NULL_WORDS), raw)
+    empty = "''" if beyond_row_end is None else f"CASE WHEN {beyond_row_end} THEN NULL ELSE '' END"
+    return f"CASE WHEN {raw} IS NULL THEN {empty} WHEN {raw} NOT IN ({_words(NULL_WORDS)}) THEN {raw} END"
 
 
 def list_items(text: Column, upper: bool = False) -> Column:

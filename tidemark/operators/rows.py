@@ -16,42 +16,47 @@ from tidemark.registry import TENANT_COLUMN, TableSpec
 CHANGE_COLUMNS = ("lsn", "seq", "change_type")
 
 
-def _first_reason(reasons: list[Column]) -> Column:
-    return F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
+def _first_reason(reasons: list[str]) -> str:
+    """The first reason that is not NULL, as SQL text."""
+    return f"coalesce({', '.join(reasons)}, CAST(NULL AS string))"
+
+
+def _reason(condition: str, text: str) -> str:
+    return f"CASE WHEN {condition} THEN '{text}' END"
 
 
 def _typed(raw: DataFrame, spec: TableSpec, extra: list[Column]) -> DataFrame:
     """Cast every column, keeping the raw value beside it for the reject checks."""
     types = dict(raw.dtypes)
-    typed = [soft_cast(F.col(c.name), types[c.name], c.type).alias(c.name) for c in spec.file_columns]
+    typed = [F.expr(f"{soft_cast(f'`{c.name}`', types[c.name], c.type)} AS `{c.name}`") for c in spec.file_columns]
     if spec.multi_tenant:
         typed.insert(0, client_of(F.col("_file")).alias(TENANT_COLUMN))
-    kept = [F.col(c.name).alias(f"_raw_{c.name}") for c in spec.file_columns if types[c.name] != c.type]
+    kept = [F.expr(f"`{c.name}` AS `_raw_{c.name}`") for c in spec.file_columns if types[c.name] != c.type]
     return raw.select(*typed, *kept, *extra, "_file", "_row")
 
 
-def _cast_reasons(typed: DataFrame, columns, lenient_times: bool) -> list[Column]:
+def _cast_reasons(typed: DataFrame, columns, lenient_times: bool) -> list[str]:
     present = set(typed.columns)
     reasons = []
     for c in columns:
         lenient = lenient_times and c.type == "timestamp_ntz"
         if f"_raw_{c.name}" in present and not lenient:
-            failed = F.col(f"_raw_{c.name}").isNotNull() & F.col(c.name).isNull()
-            reasons.append(F.when(failed, F.lit(f"{c.name}: not a {c.type}")))
+            reasons.append(_reason(f"`_raw_{c.name}` IS NOT NULL AND `{c.name}` IS NULL", f"{c.name}: not a {c.type}"))
         if c.max_length:
-            reasons.append(F.when(F.length(c.name) > c.max_length, F.lit(f"{c.name}: longer than {c.max_length}")))
+            reasons.append(_reason(f"length(`{c.name}`) > {c.max_length}", f"{c.name}: longer than {c.max_length}"))
     return reasons
 
 
-def _null_reasons(columns) -> list[Column]:
-    return [F.when(F.col(c.name).isNull(), F.lit(f"{c.name}: is null")) for c in columns if not c.nullable]
+def _null_reasons(columns) -> list[str]:
+    return [_reason(f"`{c.name}` IS NULL", f"{c.name}: is null") for c in columns if not c.nullable]
 
 
 def project_snapshot(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Snapshot rows as the spec's columns plus ``_file, _row, _reject``."""
     typed = _typed(raw, spec, [])
     reasons = _cast_reasons(typed, spec.columns, lenient_times=False) + _null_reasons(spec.columns)
-    return computed_once(typed.select(*spec.column_names, "_file", "_row", _first_reason(reasons).alias("_reject")))
+    reject = F.expr(_first_reason(reasons)).alias("_reject")
+    return computed_once(typed.select(*spec.column_names, "_file", "_row", reject))
 
 
 def project_changes(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -72,16 +77,14 @@ def project_changes(raw: DataFrame, spec: TableSpec) -> DataFrame:
     keys = [c for c in spec.columns if c.name in spec.keys]
     payload = [c for c in spec.columns if c.name not in spec.keys]
     envelope = [
-        F.when(F.col("_lsn_text").isNotNull() & F.col("lsn").isNull(), F.lit("lsn: not a hex number")),
-        F.when(F.col("_type_text").isNotNull() & F.col("change_type").isNull(), F.lit("change_type: not a number")),
+        _reason("_lsn_text IS NOT NULL AND lsn IS NULL", "lsn: not a hex number"),
+        _reason("_type_text IS NOT NULL AND change_type IS NULL", "change_type: not a number"),
     ]
     casts = _cast_reasons(typed, spec.columns, lenient_times=True)
-    key_nulls = F.when(F.col("change_type").isin(1, 2, 4), _first_reason(_null_reasons(keys)))
-    payload_nulls = F.when(F.col("change_type").isin(2, 4), _first_reason(_null_reasons(payload)))
-    reject = _first_reason(envelope + casts + [key_nulls, payload_nulls])
-    return computed_once(
-        typed.select(*CHANGE_COLUMNS, *spec.column_names, "_file", "_row", reject.alias("_reject"))
-    )
+    key_nulls = f"CASE WHEN change_type IN (1, 2, 4) THEN {_first_reason(_null_reasons(keys))} END"
+    payload_nulls = f"CASE WHEN change_type IN (2, 4) THEN {_first_reason(_null_reasons(payload))} END"
+    reject = F.expr(_first_reason([*envelope, *casts, key_nulls, payload_nulls])).alias("_reject")
+    return computed_once(typed.select(*CHANGE_COLUMNS, *spec.column_names, "_file", "_row", reject))
 
 
 def accepted(rows: DataFrame) -> DataFrame:
