@@ -73,7 +73,7 @@ def cdc_merge_composite(spark, sf):
 
 
 def lsn_guard(spark, sf):
-    """Events newer than the one applied to their user: the first event of each kind counts as applied."""
+    """Events not older than the last purchase of their user, which counts as applied."""
     feed = _event_feed(spark, sf).filter(F.col("lsn").isNotNull())
     applied = feed.groupBy("id").agg(F.max(F.when(F.col("change_type") == 3, F.col("lsn"))).alias("lsn"))
     applied = applied.filter(F.col("lsn").isNotNull()).withColumn("seq", F.lit(""))
@@ -82,7 +82,7 @@ def lsn_guard(spark, sf):
 
 
 def _supplier_updates(spark, sf):
-    """One update per customer key that is also a supplier key, doubled like the target's ids plus strangers."""
+    """Suppliers under every third id: even ones meet a target row, odd ones are new."""
     return feeds.load(spark, sf, "supplier").select(
         (F.col("s_suppkey") * 3).alias("id"), F.col("s_acctbal").alias("amount")
     )
