@@ -91,10 +91,15 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            self.up = np.concatenate(([1], np.full(n - 1, self.base, np.uint64))).cumprod(dtype=np.uint64)
-            self.down = np.concatenate(([1], np.full(n - 1, self.inverse, np.uint64))).cumprod(dtype=np.uint64)
+            self.up, self.down = (self._powers(x, n) for x in (self.base, self.inverse))
         return self.up[:n], self.down[:n]
 
+    @staticmethod
+    def _powers(base: int, n: int) -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        return out.cumprod(dtype=np.uint64)
+
 
 _POWERS = Powers()
 
@@ -112,3 +117,32 @@ def hash_slices(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
 def parts_for(size: float, per_part: float, least: int = 1) -> int:
     """Number of parts of about ``per_part`` that hold ``size``."""
     return max(least, int(-(-size // per_part)))
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted batches as tables of whole groups of equal integer keys, with the groups' starts and the end.
+
+    Holds ``rows`` rows or one group, whichever is more.
+    """
+
+    def starts(table: pa.Table) -> np.ndarray:
+        change = np.zeros(max(0, table.num_rows - 1), bool)
+        for key in keys:
+            values = table.column(key).to_numpy()
+            change |= values[1:] != values[:-1]
+        return np.concatenate(([0], np.flatnonzero(change) + 1))
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            table = pa.Table.from_batches(held)
+            cuts = starts(table)
+            if len(cuts) > 1:
+                yield table.slice(0, cuts[-1]), cuts
+                held, size = table.slice(cuts[-1]).to_batches(), table.num_rows - int(cuts[-1])
+    if size:
+        table = pa.Table.from_batches(held)
+        yield table, np.append(starts(table), table.num_rows)
