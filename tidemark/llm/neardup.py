@@ -224,7 +224,8 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", share:
 
     sizes = close.join(nodes.select("node", "n"), "node").groupBy("group").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
     texts = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).where(F.col("node").isNotNull())
-    sets = texts.join(close, "node").select("node", "group", "text").mapInArrow(_full_sets, "node long, group long, shingles binary")
+    # The same plan at every size; texts are dealt by id once.
+    sets = texts.join(close.hint("merge"), "node").select("node", "group", "text").mapInArrow(_full_sets, "node long, group long, shingles binary")
     chunks = F.ceil(F.greatest(F.col("size") / GROUP_CHUNK, F.col("total") / GROUP_SHINGLES))
     tiles = _tiles(sets.join(sizes, "group"), "group", "node", chunks).select("group", "tile", "node", "shingles")
     linked = components(tiles.mapInArrow(_linked_sets(share), "a long, b long"))
