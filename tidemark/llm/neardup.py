@@ -12,11 +12,11 @@ a candidate group is then compared on full sets, and links make the components.
 
 Buckets and candidate groups of any size are cut into chunks; each pair of
 chunks is a tile of bounded size, and a tile gives out a spanning forest, never
-all its pairs. At a similarity of 0.85 a pair escapes all bands with probability
+all its pairs. At a similarity of 0.8 a pair escapes all bands with probability
 under 1e-8, and the agreement needed is over six deviations below what it has.
 
 Defined results: words are split at white space and A-Z lower-cased; a text of
-one or two words is one shingle, a null text or one without words has an empty
+fewer words than a shingle has is one shingle, a null text or one without words has an empty
 set and is linked with nothing. Rows under one id are one node. A row without an
 id is linked with nothing, has a null component and is kept. An empty table gives
 an empty one. Extra columns are not carried.
@@ -35,10 +35,10 @@ from tidemark.llm.common import LOWER, as_bytes, hash_slices, mix, runs, slices,
 from tidemark.llm.graph import components
 from tidemark.sinks.scratch import materialize
 
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 48, 5
 BINS = BANDS * ROWS
 #: Bins in which candidates agree at least.
-AGREE = int(0.65 * BINS)
+AGREE = int(0.62 * BINS)
 #: Members of a chunk of a bucket; members and shingles of a chunk of a candidate group.
 BUCKET_CHUNK, GROUP_CHUNK, GROUP_SHINGLES = 2048, 512, 400_000
 BATCH_BYTES = 2_000_000
@@ -90,14 +90,14 @@ def sketch(rows: np.ndarray, values: np.ndarray, n: int, bins: int = BINS) -> np
     return out.reshape(n, bins)
 
 
-def _sketches(documents: DataFrame, key: str, text: str) -> DataFrame:
+def _sketches(documents: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """doc_id, n_shingles, digest of the set, 16 bits of every bin, and band keys; null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
                 n = part.num_rows
-                rows, values = shingle_sets(part.column("text"))
+                rows, values = shingle_sets(part.column("text"), width)
                 counts = np.bincount(rows, minlength=n) if len(rows) else np.zeros(n, int)
                 full = sketch(rows, values, n)
                 digest = np.zeros((n, 2), np.uint64)
@@ -196,22 +196,24 @@ def _linked_sets(share: int):
     return run
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "text", BATCH_BYTES):
-            rows, values = shingle_sets(part.column("text"))
-            cuts = np.searchsorted(rows, np.arange(part.num_rows + 1))
-            sets = [values[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([part.column("node"), part.column("group"), pa.array(sets, pa.binary())], names=["node", "group", "shingles"])
+def _full_sets(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", BATCH_BYTES):
+                rows, values = shingle_sets(part.column("text"), width)
+                cuts = np.searchsorted(rows, np.arange(part.num_rows + 1))
+                sets = [values[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("group"), pa.array(sets, pa.binary())], names=["node", "group", "shingles"])
 
+    return run
 
-def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", share: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document; links are sets that share ``share`` percent.
 
-    ``share`` below 80 needs more bands than are set here.
-    """
+def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, share: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document; links are sets of shingles of ``width`` words that share ``share`` percent."""
+    if share < 80:
+        raise ValueError("below 80 percent, more bands are needed than are set here")
     spark = documents.sparkSession
-    found = materialize(spark, _sketches(documents, key, text), "sketches")
+    found = materialize(spark, _sketches(documents, key, text, width), "sketches")
     some = found.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     nodes = some.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.min_by(F.struct("bits", "bands"), "doc_id").alias("s"))
     nodes = materialize(spark, nodes.select("digest", "node", "n", "s.bits", "s.bands"), "nodes")
@@ -225,7 +227,7 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", share:
     sizes = close.join(nodes.select("node", "n"), "node").groupBy("group").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
     texts = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).where(F.col("node").isNotNull())
     # The same plan at every size; texts are dealt by id once.
-    sets = texts.join(close.hint("merge"), "node").select("node", "group", "text").mapInArrow(_full_sets, "node long, group long, shingles binary")
+    sets = texts.join(close.hint("merge"), "node").select("node", "group", "text").mapInArrow(_full_sets(width), "node long, group long, shingles binary")
     chunks = F.ceil(F.greatest(F.col("size") / GROUP_CHUNK, F.col("total") / GROUP_SHINGLES))
     tiles = _tiles(sets.join(sizes, "group"), "group", "node", chunks).select("group", "tile", "node", "shingles")
     linked = components(tiles.mapInArrow(_linked_sets(share), "a long, b long"))

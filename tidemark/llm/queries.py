@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, counts, language, mixing, neardup, neighbours, pages, repeats, topk
+from tidemark.llm import bpe, counts, language, mixing, neardup, neighbours, ngrams, pages, repeats, topk
 from tidemark.llm.common import fold, table
 
 PIECES = "piece_bpe_32k.model"
@@ -46,7 +46,7 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.groups(table(spark, sf_dir, "documents"))
+    return neardup.groups(table(spark, sf_dir, "documents"), width=3, share=85)
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,12 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = fold("doc_id", 7)
+    done = ngrams.score(table(spark, sf_dir, "documents"), part != 2)
+    return done.select("doc_id", (part == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -66,6 +72,6 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (part == 0).alias("held_out"), "lang_pred", "score")
 
 
-_OPERATORS = (op1_token_counts, op2_bpe, op3_mixing, op4_topk, op5_neighbours, op6_neardup, op7_repeats, op9_main_text, op10_language)
+_OPERATORS = (op1_token_counts, op2_bpe, op3_mixing, op4_topk, op5_neighbours, op6_neardup, op7_repeats, op8_katz, op9_main_text, op10_language)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPERATORS}
 SQL: dict[str, str] = {}
