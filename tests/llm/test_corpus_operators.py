@@ -1,0 +1,275 @@
+"""Vector searches, near copies, repeats, the language model and the pipeline, each against brute force."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidemark.llm import graph, neardup, neighbours, ngrams, repeats, topk
+from tidemark.llm.rindex import RunIndex
+
+UPPER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
+SF = "/root/testdata/sf0.001"
+
+
+def split(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UPPER))
+
+
+def documents(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, node long, kept string")
+
+
+LONG = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega "
+ODD = [
+    (5, LONG * 3, 1, "a"), (3, LONG.upper() * 3, 1, "a"), (9, LONG * 3 + "more words here", 1, "a"), (4, None, 1, "a"), (6, "", 1, "a"), (7, " \t", 1, "a"),
+    (8, "one two", 1, "a"), (2, "One two", 1, "a"), (None, LONG * 3, 1, "a"), (10, "é" * 60 + "ß", 1, "a"), (11, "ö" + "é" * 60, 1, "a"), (12, "ab" * 90, 1, "a"),
+    (13, "x" + "ab" * 40 + "y", 1, "a"), (14, LONG * 400, 1, "a"), (5, LONG * 3, 1, "a"),
+]
+
+
+def brute_groups(rows, width, share):
+    def sets(text):
+        w = split(text)
+        return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
+
+    own = [(i, sets(t)) for i, t in rows if i is not None]
+    root = {i: i for i, _ in own}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for (i, a), (j, b) in combinations(own, 2):
+        if i != j and a and b and 100 * len(a & b) >= share * len(a | b):
+            low, high = sorted((find(i), find(j)))
+            root[high] = low
+    return sorted((i, len(s), find(i), find(i) == i) for i, s in own)
+
+
+@pytest.mark.parametrize("width, share", [(3, 85), (5, 80)])
+def test_near_copies(spark, width, share):
+    given = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    for rows in (given, [(i, t) for i, t, _, _ in ODD]):
+        found = [tuple(r) for r in neardup.groups(documents(spark, [(i, t, 0, "") for i, t in rows]), width=width, share=share).collect()]
+        assert sorted(r for r in found if r[0] is not None) == brute_groups(rows, width, share)
+        assert [r[2:] for r in found if r[0] is None] == [(None, True)] * sum(i is None for i, _ in rows)
+    assert neardup.groups(documents(spark, ODD[:0])).count() == 0
+
+
+def test_large_groups_are_cut_into_tiles(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "GROUP_CHUNK", 4)
+    monkeypatch.setattr(neardup, "BUCKET_CHUNK", 8)
+    draw = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(40):  # a chain: neighbours are near copies, the ends are not
+        base[int(draw.integers(60))] = f"n{i}"
+        rows.append((i, " ".join(base)))
+    found = neardup.groups(documents(spark, [(i, t, 0, "") for i, t in rows]), width=3, share=85).collect()
+    assert sorted(map(tuple, found)) == brute_groups(rows, 3, 85)
+
+
+def test_sketches_fill_and_estimate():
+    one = np.arange(1000, dtype=np.uint64)
+    rows, values = np.repeat([0, 1, 2], [900, 900, 1]), np.concatenate((one[:900], one[100:], one[:1]))
+    full = neardup.sketch(rows, neardup.mix(values), 3)
+    assert (full != neardup._NO).all() and abs((full[0] == full[1]).mean() - 0.8) < 0.08
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(100, 200), (200, 100), (300, 300), (None, 1)]
+    found = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert found == {**{i: 0 for i in range(31)}, 100: 100, 200: 100}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def brute_repeats(rows):
+    first, out = {}, []
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    for i, b in sorted((r for r in texts if r[0] is not None), key=lambda r: r[0]):
+        for j in range(len(b) - 49):
+            first.setdefault(b[j : j + 50], i)
+    for i, b in texts:
+        gone = bytearray(len(b))
+        for j in range(len(b) - 49 if i is not None else 0):
+            if first[b[j : j + 50]] < i:
+                gone[j : j + 50] = b"\1" * 50
+        kept = bytes(x for x, y in zip(b, gone) if not y)
+        spans = sum(1 for j in range(len(gone)) if gone[j] and (j == 0 or not gone[j - 1]))
+        out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_repeats(spark, monkeypatch, small):
+    if small:  # many groups, parts and indexes
+        for name, size in (("GROUP_BYTES", 20_000), ("PART_BYTES", 30_000), ("BATCH_BYTES", 5_000)):
+            monkeypatch.setattr(repeats, name, size)
+    given = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    for rows in (given, [(i, t) for i, t, _, _ in ODD]):
+        done = repeats.remove_repeats(documents(spark, [(i, t, 0, "") for i, t in rows]))
+        assert done.columns == ["doc_id", "text", "node", "n_bytes", "n_removed", "n_spans", "kept"]
+        found = done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
+        assert sorted(map(tuple, found), key=str) == brute_repeats(rows)
+    assert repeats.remove_repeats(documents(spark, ODD[:0])).count() == 0
+
+
+def test_run_index():
+    draw = np.random.default_rng(3)
+    strings = [bytes(draw.choice(list(b"ab"), draw.integers(1, 30)).tolist()) for _ in range(300)]
+    strings += strings[:100]
+    owners, depth = draw.integers(0, 50, len(strings)), 12
+    lengths = np.array(list(map(len, strings)))
+    index = RunIndex(np.frombuffer(b"".join(strings), np.uint8), lengths, owners, depth)
+    assert len(index.run_start) < lengths.sum()
+    least = {}
+    for s, o in zip(strings, owners.tolist()):
+        for i in range(len(s) - depth + 1):
+            least[s[i : i + depth]] = min(o, least.get(s[i : i + depth], o))
+    expected = [sum(1 << i for i in range(len(s) - depth + 1) if least[s[i : i + depth]] < o) for s, o in zip(strings, owners.tolist())]
+    assert index.owned_before(owners).tolist() == expected
+
+
+def test_language_model(spark):
+    texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + [(1000, None), (1001, ""), (1001, "the the Q")]
+    train = {i: zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in texts}
+    tokens = [(i, [*split(t), None]) for i, t in texts]
+    one, two = Counter(), Counter()
+    for i, t in tokens:
+        if train[i]:
+            one.update(t)
+            two.update(zip(["<s>", *t[:-1]], t))
+    total = sum(one.values())
+    factors = [ngrams.discounts(np.array([sum(x == r for x in c.values()) for r in range(1, ngrams.TOP + 2)])) for c in (one, two)]
+    less = lambda d, r: d[r] * r if r <= ngrams.TOP else r
+    unknown = 1 - sum(less(factors[0], x) for x in one.values()) / total
+    word = lambda w: less(factors[0], one[w]) / total if w in one else unknown
+    before, used, share, discounted = Counter(), Counter(), Counter(), set()
+    for (v, w), x in two.items():
+        before[v] += x
+        used[v] += less(factors[1], x)
+        share[v] += word(w)
+        if x <= ngrams.TOP:
+            discounted.add(v)
+
+    def p(w, v):
+        scale = 1 if v in discounted or v not in before else before[v] / (before[v] + 1)
+        if (v, w) in two:
+            return scale * less(factors[1], two[v, w]) / before[v]
+        return word(w) * ((1 - scale * used[v] / before[v]) / (1 - share[v]) if v in before else 1)
+
+    for v in ("<s>", "the", max(before, key=before.get), min(before, key=lambda x: (before[x], str(x)))):
+        assert math.isclose(sum(p(w, v) for w in one) + p("\0", v), 1, rel_tol=1e-9)
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    flag = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    found = sorted(map(tuple, ngrams.score(rows, flag).collect()))
+    expected = sorted(
+        (i, len(t), sum(w in one for w in t), total, sum(math.log10((one[w] + 1) / (total + len(one) + 1)) for w in t), sum(math.log10(p(w, v)) for v, w in zip(["<s>", *t[:-1]], t)))
+        for i, t in tokens
+    )
+    assert [f[:4] for f in found] == [e[:4] for e in expected]
+    assert np.allclose([f[4:] for f in found], [e[4:] for e in expected], rtol=1e-9)
+    held = [f for f in found if not train[f[0]]]
+    assert sum(f[5] for f in held) > sum(f[4] for f in held)
+    assert [r["score"] for r in ngrams.score(rows.limit(3), F.lit(False)).collect()] == [0.0] * 3
+    assert ngrams.score(rows.limit(0), flag).count() == 0
+
+
+VECTORS = [(i, [math.sin(i * j + 1) for j in range(1, 9)]) for i in range(300)]
+BAD = [(400, None), (401, [1.0, None] + [0.0] * 6), (402, [float("nan")] + [0.0] * 7), (403, [float("inf")] + [0.0] * 7), (None, [1.0] * 8), (100, [0.5, 0.25]), (200, [0.5, 0.5]), (150, [])]
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, rank int")
+
+
+def test_topk(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD", 16)
+    monkeypatch.setattr(topk, "BLOCK", 3)
+    same = [(i + 500, VECTORS[7][1]) for i in range(40)]  # ties
+    rows = vectors(spark, VECTORS + same + BAD)
+    found = sorted(map(tuple, topk.search(rows, rows.where("vec_id % 50 = 0"), 5).collect()))
+    usable = [(i, [math.floor(256 * x) for x in v]) for i, v in VECTORS + same + BAD if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    best = {}
+    for i, v in usable:
+        if i % 50 == 0:
+            best.setdefault(i, []).extend((-sum(a * b for a, b in zip(v, w)), j) for j, w in usable if j != i and len(w) == len(v))
+    assert found == sorted((i, n + 1, j, -s) for i, b in best.items() for n, (s, j) in enumerate(sorted(b)[:5]))
+    huge = vectors(spark, [(0, [1e300, 1.0]), (1, [1e300, 1.0]), (2, [-1e300, 0.0]), (3, [2.0**40, 2.0**20])])
+    assert [(r["vec_id"], r["score"]) for r in topk.search(huge, huge.where("vec_id = 0"), 5).collect()] == [(1, 2**63 - 1), (3, 2**63 - 1), (2, -(2**63))]
+    assert topk.search(rows.limit(0), rows, 5).count() == topk.search(rows, rows.limit(0), 5).count() == 0
+
+
+def test_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART", 20)
+    monkeypatch.setattr(neighbours, "BLOCK", 2)
+    same = [(i + 500, VECTORS[7][1]) for i in range(40)]
+    rows = vectors(spark, VECTORS + same + BAD + [(700, [0.0] * 8)])
+    whole = sorted(map(tuple, neighbours.search(rows, rows.where("vec_id % 100 = 0"), 10, share=1.0).collect()))
+    every = VECTORS + same
+    expected = []
+    for i, v in every:
+        if i % 100 == 0:
+            near = sorted((math.dist(v, w), j) for j, w in every if j != i)[:10]
+            expected += [(i, n + 1, j, d) for n, (d, j) in enumerate(near)]
+    assert [w[:3] for w in whole] == [e[:3] for e in sorted(expected)]
+    assert np.allclose([w[3] for w in whole], [e[3] for e in sorted(expected)])
+    for few in (vectors(spark, [(100, [1.0]), (1, [2.0])]), vectors(spark, [(100, [1.0, 2.0])] * 3)):
+        assert neighbours.search(few, few.where("vec_id = 100"), 10).count() == few.where("vec_id != 100").count()
+    assert neighbours.search(rows.limit(0), rows, 10).count() == 0
+
+
+def test_recall_of_neighbours(spark):
+    from tidemark.llm.queries import op5_neighbours
+
+    sf = "/root/testdata/sf0.1"
+    given = spark.read.parquet(f"{sf}/embeddings.parquet").orderBy("vec_id").collect()
+    ids, v = np.array([r["vec_id"] for r in given]), np.array([r["embedding"] for r in given], float)
+    found = {}
+    for r in op5_neighbours(spark, sf).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hit = total = 0
+    for q in np.flatnonzero(ids % 100 == 0).tolist():
+        d = np.sqrt(((v - v[q]) ** 2).sum(1))
+        d[q] = np.inf
+        true = set(ids[np.argsort(d)[:10]].tolist())
+        hit, total = hit + len(true & found[ids[q]]), total + len(true)
+    assert hit / total >= 0.9
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = [(1000, LONG * 3, "en", "src0", 1), (1001, LONG * 3, None, None, None), (1002, None, "en", "src1", 0), (None, LONG, None, "src1", None), (1003, "12 34", "en", "src2", 5)]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    step = corpus_pipeline.identify_language(spark, docs, SF)
+    assert step.columns == docs.columns and step.where("doc_id IN (1002, 1003)").count() == 0
+    assert step.count() >= 0.96 * docs.count()
+    rows = [(r["doc_id"], r["text"]) for r in step.collect()]
+    kept = corpus_pipeline.drop_near_copies(spark, step, SF)
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [i for i, _, _, own in brute_groups(rows, 5, 80) if own]
+    rows = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    rest = corpus_pipeline.remove_repeats(spark, kept, SF)
+    hashes = [(r["doc_id"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in rest.collect()]
+    assert dict(hashes) == {i: h for i, _, _, _, h in brute_repeats(rows)} and rest.columns == docs.columns
+    mixed = corpus_pipeline.mix_sources(spark, rest, SF)
+    assert mixed.columns == docs.columns
+    done = corpus_pipeline.tokenise(spark, mixed, SF)
+    assert done.count() == mixed.count()
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_packed_values():
+    values = np.array([0, 1 << 63, 0xFFFFFFFFFFFF0000], np.uint64)
+    assert (repeats._from_six(repeats._six(values)) == values).all()
+    assert neardup.shingle_sets(pa.array([None, ""], pa.string()))[0].tolist() == []

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,28 +25,20 @@ def fold(key: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % folds, F.lit(0))
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Parts of an Arrow batch of about ``limit`` bytes of text; a longer text is a part of its own."""
-    sizes = np.frombuffer(_offsets(batch.column(column)), np.int64)
-    sizes = np.diff(sizes)
+def slices(batch: pa.RecordBatch, column: str, limit: int, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Parts of an Arrow batch of about ``limit`` bytes of text and at most ``rows`` rows; a longer text is a part of its own."""
     start = size = 0
-    for i, n in enumerate(sizes.tolist()):
-        if i > start and size + n > limit:
+    for i, n in enumerate(lengths(batch.column(column)).tolist()):
+        if i > start and (size + n > limit or i - start == rows):
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += n
-    if len(sizes) > start:
+    if batch.num_rows > start:
         yield batch.slice(start)
 
 
-def _offsets(values: pa.Array) -> bytes:
-    return np.concatenate(([0], np.cumsum(lengths(values)))).astype(np.int64).tobytes()
-
-
 def lengths(values: pa.Array) -> np.ndarray:
     """Bytes of each value; null counts as none."""
-    import pyarrow.compute as pc
-
     return pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 

@@ -41,7 +41,7 @@ BINS = BANDS * ROWS
 AGREE = int(0.62 * BINS)
 #: Members of a chunk of a bucket; members and shingles of a chunk of a candidate group.
 BUCKET_CHUNK, GROUP_CHUNK, GROUP_SHINGLES = 2048, 512, 400_000
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 COLUMNS = 4096
 _NO = np.uint64(2**64 - 1)
 
@@ -234,5 +234,5 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", width:
 
     named = nodes.select("digest", "node").join(linked, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     # Rows under one id may have several sets, all one node.
-    least = found.join(named, "digest", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    least = found.join(named, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
     return least.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

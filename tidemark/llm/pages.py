@@ -77,7 +77,8 @@ class Page:
     """Elements in page order, so that an element's inside is a range, and the text between their tags."""
 
     def __init__(self, text: str):
-        self.parent, self.tag, self.classes, self.state, self.end = [-1], [""], [""], [0], [0]
+        # Element 0 is the page itself.
+        self.parent, self.tag, self.classes, self.state, self.end = [-1], ["html"], [""], [0], [0]
         self.texts: list[tuple[int, str]] = []
         self._read(text)
 
@@ -180,7 +181,7 @@ class Page:
                 continue
             n = len(text.strip())
             holders = []
-            while node > 0 and len(holders) < 2:
+            while node >= 0 and len(holders) < 2:
                 if self.tag[node] == "a":
                     n = 0
                     break
@@ -214,10 +215,10 @@ class Page:
         return False
 
     def best(self) -> tuple[int, float]:
-        """The best container and its score; (0, 0) if the page has no text to keep."""
+        """The best container and its score; (-1, 0) if the page has no text to keep."""
         scores = self.scores()
         if not scores:
-            return 0, 0.0
+            return -1, 0.0
         node = max(scores, key=lambda i: (scores[i], -i))
         return self.widen(node), scores[node]
 
@@ -239,7 +240,7 @@ class Page:
                 if text := " ".join(filter(None, map(self.text_of, outer))):
                     return text
         node, _ = self.best()
-        return self.text_of(node) if node else ""
+        return self.text_of(node) if node >= 0 else ""
 
 
 def host_of(url: str = "url"):
@@ -256,7 +257,7 @@ def votes(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
             for host, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 page = Page(text or "")
                 node, score = page.best()
-                if node:
+                if node >= 0:
                     hosts.append(host)
                     paths.append(page.path(node))
                     scores.append(score)

@@ -42,7 +42,7 @@ from tidemark.llm.rindex import RunIndex
 LENGTH, GRAM = 50, 26
 SPAN = LENGTH - GRAM + 1
 #: Bytes of text in a group of documents, in a part of the minimisers, and worked on at once.
-GROUP_BYTES, PART_BYTES, BATCH_BYTES = 4_000_000, 12_000_000, 1_000_000
+GROUP_BYTES, PART_BYTES, BATCH_BYTES = 3_000_000, 6_000_000, 500_000
 _LOW = np.uint64(63)
 
 
@@ -240,7 +240,7 @@ def _answer_marks(table: pa.Table) -> pa.Table:
     return pa.table([table["_g"].combine_chunks(), table["part"].combine_chunks(), pa.array(answers, pa.binary())], names=["_g", "part", "marks"])
 
 
-def _bounded(kept: np.ndarray, at: np.ndarray, count: np.ndarray, most: int = 60_000) -> Iterator[np.ndarray]:
+def _bounded(kept: np.ndarray, at: np.ndarray, count: np.ndarray, most: int = 12_000) -> Iterator[np.ndarray]:
     """Stretches of whole minimisers, about ``most`` at a time, for one index each."""
     some, size = [], 0
     for a, n in zip(at.tolist(), count.tolist()):
