@@ -41,7 +41,7 @@ from tidemark.llm.repeats import _from_six, _part, _six
 
 #: Largest count that is discounted.
 TOP = 5
-GROUP_BYTES, PART_BYTES, BATCH_BYTES = 6_000_000, 8_000_000, 1_000_000
+GROUP_BYTES, PART_BYTES, BATCH_BYTES = 10_000_000, 8_000_000, 1_000_000
 BEGIN, END = np.uint64(1), np.uint64(2)
 
 
