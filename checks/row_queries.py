@@ -18,7 +18,15 @@ LINES = define_table(
     "LINES",
     "lines",
     1,
-    "OrderID PartID LineNo Quantity:decimal(18,2) Flag:boolean SeenDate Note:2",
+    (
+        ("OrderID", "decimal(38,0)", None, False, 5),
+        ("PartID", "decimal(38,0)", None, False, 6),
+        ("LineNo", "decimal(38,0)", None, False, 7),
+        ("Quantity", "decimal(18,2)", None, False, 8),
+        ("Flag", "boolean", None, False, 9),
+        ("SeenDate", "timestamp_ntz", None, False, 10),
+        ("Note", "string", 2, False, 11),
+    ),
     multi_tenant=False,
 )
 

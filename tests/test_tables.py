@@ -10,8 +10,16 @@ from tidemark.registry import define_table
 from tidemark.sinks.scratch import materialize
 from tidemark.sinks.tables import RANGE_COLUMN, TargetTable
 
-SPEC = define_table("T", "t", 1, "TID Amount:decimal(18,2) Note:10", ids_per_range=10)
-SHARED = define_table("S", "s", 1, "TID Note:10", multi_tenant=False, ids_per_range=10)
+SPEC = define_table(
+    "T",
+    "t",
+    1,
+    (("TID", "decimal(38,0)", None, False, 5), ("Amount", "decimal(18,2)", None, False, 6), ("Note", "string", 10, False, 7)),
+    ids_per_range=10,
+)
+SHARED = define_table(
+    "S", "s", 1, (("TID", "decimal(38,0)", None, False, 5), ("Note", "string", 10, False, 6)), multi_tenant=False, ids_per_range=10
+)
 
 
 def frame(spark, spec, rows):
