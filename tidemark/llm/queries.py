@@ -74,4 +74,35 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OPERATORS = (op1_token_counts, op2_bpe, op3_mixing, op4_topk, op5_neighbours, op6_neardup, op7_repeats, op8_katz, op9_main_text, op10_language)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPERATORS}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_mixing": """
+WITH sizes AS (SELECT source, sum(length(coalesce(text, '')) + 1) AS size FROM documents GROUP BY source),
+rates AS (SELECT source, sqrt(size) / sum(sqrt(size)) OVER () * sum(size) OVER () / size AS rate FROM sizes),
+draws AS (SELECT source, CAST(ceil(rate / 32) AS BIGINT) AS draws, rate / ceil(rate / 32) AS mean FROM rates),
+sums AS (
+  SELECT source, draws, sum(exp(-mean + k * ln(mean) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p
+  FROM draws, range(0, 121) AS t(k)
+),
+tables AS (SELECT source, any_value(draws) AS draws, list(p) AS p FROM sums GROUP BY source),
+drawn AS (
+  SELECT d.*, list_sum(list_transform(range(1, t.draws + 1), lambda j: len(list_filter(t.p, lambda x:
+    x <= CAST(('0x' || substr(md5(concat_ws(':', '17', d.doc_id, j)), 1, 13)) AS BIGINT) / 4503599627370496.0)))) AS copies
+  FROM documents d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source
+),
+copied AS (SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(1, CAST(copies AS BIGINT) + 1)) AS INTEGER) AS copy FROM drawn)
+SELECT *, CAST(('0x' || substr(md5(concat_ws(':', '17-order', doc_id, copy)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS shuffle_key
+FROM copied
+""",
+    "op4_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 5
+""",
+}
