@@ -37,8 +37,8 @@ from tidemark.sinks.scratch import materialize
 
 BANDS, ROWS = 48, 5
 BINS = BANDS * ROWS
-#: Bins in which candidates agree at least.
-AGREE = int(0.62 * BINS)
+#: Bins in which candidates agree at least; four bits of a bin are kept, so others agree in one of sixteen by chance.
+AGREE = int(0.65 * BINS)
 #: Members of a chunk of a bucket; members and shingles of a chunk of a candidate group.
 BUCKET_CHUNK, GROUP_CHUNK, GROUP_SHINGLES = 2048, 512, 400_000
 BATCH_BYTES = 1_000_000
@@ -91,7 +91,7 @@ def sketch(rows: np.ndarray, values: np.ndarray, n: int, bins: int = BINS) -> np
 
 
 def _sketches(documents: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, 16 bits of every bin, and band keys; null for empty sets."""
+    """doc_id, n_shingles, digest of the set, 4 bits of every bin, and band keys; null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,7 +107,8 @@ def _sketches(documents: DataFrame, key: str, text: str, width: int) -> DataFram
                 keys = np.tile(np.arange(BANDS, dtype=np.uint64), (n, 1))
                 for i in range(ROWS):
                     keys = mix(keys + banded[:, :, i])
-                bits = (mix(full) & np.uint64(0xFFFF)).astype("<u2")
+                bits = (mix(full) & np.uint64(0xF)).astype(np.uint8)
+                bits = bits[:, ::2] << 4 | bits[:, 1::2]
                 some = counts > 0
                 binary = lambda m: pa.array([x.tobytes() if s else None for x, s in zip(m, some)], pa.binary())  # noqa: E731, B023
                 lists = pa.array([x if s else None for x, s in zip(keys.view(np.int64), some)], pa.list_(pa.int64()))
@@ -148,17 +149,26 @@ def _edges(pairs: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
 
 
+#: Of the two bins in a byte, how many agree, by the exclusive or of two bytes.
+_AGREEING = np.array([(x >> 4 == 0) + (x & 15 == 0) for x in range(256)], np.uint8)
+
+
+def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bins in which rows of packed sketches agree."""
+    return _AGREEING[a ^ b].sum(1, dtype=np.int64)
+
+
 def _similar_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table, cuts in runs(batches, ["bucket", "tile"]):
         node = table["node"].to_numpy()
-        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), "<u2").reshape(-1, BINS)
+        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint8).reshape(-1, BINS // 2)
         sizes, found = np.diff(cuts), []
         two = cuts[:-1][sizes == 2]
-        two = two[(bits[two] == bits[two + 1]).sum(1) >= AGREE]
+        two = two[_agreeing(bits[two], bits[two + 1]) >= AGREE]
         found.append(np.stack((node[two], node[two + 1]), 1))
         for a, b in zip(cuts[:-1][sizes > 2].tolist(), cuts[1:][sizes > 2].tolist()):
             own = bits[a:b]
-            edges = _forest(b - a, lambda i, rest: (own[rest] == own[i]).sum(1) >= AGREE)  # noqa: B023
+            edges = _forest(b - a, lambda i, rest: _agreeing(own[rest], own[i]) >= AGREE)  # noqa: B023
             found.append(node[a:b][np.array(edges, np.int64).reshape(-1, 2)])
         yield _edges(found)
 
