@@ -49,6 +49,17 @@ def listing_time(text: Column) -> Column:
     return F.to_timestamp(F.substr(text, F.lit(6)), LISTING_TIME_FORMAT)
 
 
+def file_read() -> Column:
+    """The file a row was read from, spelt as listings spell it; the reader's own text is escaped as in a URL."""
+    # In a path a plus is a plus; decoding alone would make it a space.
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def literal_path(path: Column) -> Column:
+    """The path as a reader's argument, with the characters of patterns standing for themselves."""
+    return F.regexp_replace(path, r"([\\{}\[\]*?])", r"\\$1")
+
+
 PATH_PARTS = ("client_id", "table_id", "tabledata_folder", "filename", "relative_path")
 
 
