@@ -296,7 +296,7 @@ SQL = {
     "file_batches": f"""WITH {feeds.PARSED_SQL}
         SELECT table_id, full_file_path, ((row_number() OVER (
                  PARTITION BY table_id
-                 ORDER BY last_modified::DATE, substr(md5(full_file_path), 1, 3), last_modified, full_file_path) - 1) // 50 + 1)::BIGINT AS batch_number
+                 ORDER BY last_modified NULLS FIRST, full_file_path) - 1) // 50 + 1)::BIGINT AS batch_number
         FROM parsed WHERE table_id IS NOT NULL""",
     "table_registry": f"""WITH r(n, table_name, source_table_id, load_order, is_multi_tenant) AS (VALUES {_registry_values()})
         SELECT r.table_name, r.source_table_id, r.load_order, r.is_multi_tenant, count(*) AS files

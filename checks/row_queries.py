@@ -259,7 +259,7 @@ SQL = {
                  concat('tbl-', s_suppkey % 3) AS table_id, concat('supp_', s_suppkey + 5) AS short
           FROM supplier),
         batched AS (
-          SELECT *, (row_number() OVER (PARTITION BY table_id ORDER BY substr(md5(path), 1, 3), path) - 1) // 10 + 1 AS batch_number
+          SELECT *, (row_number() OVER (PARTITION BY table_id ORDER BY path) - 1) // 10 + 1 AS batch_number
           FROM files)
         SELECT coalesce(b.filename, r._file) AS file_name, coalesce(b.client_id, 'UNKNOWN') AS client_id,
                coalesce(b.table_id, 'UNKNOWN') AS table_id, coalesce(r.rows_loaded, 0)::BIGINT AS rows_loaded,
