@@ -25,7 +25,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.conf.set(CHECKPOINT_CONF, root)
