@@ -114,6 +114,28 @@ def test_held_out_language(spark):
     assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.93
 
 
+def test_one_sentence_documents_keep_their_language(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    sentences = {}
+    for r in docs.where("doc_id % 2 = 1").orderBy("doc_id").collect():
+        for x in (r["text"] or "").replace("\n", " ").split(". "):
+            if 12 <= len(x) < 30 and x[0].isupper() and all(c.isalpha() or c == " " for c in x):
+                sentences.setdefault(r["lang"], {})[f"{x}."] = None
+    planted = [(1_000_000 + 100 * i + k, x, lang, "s", len(x)) for i, lang in enumerate(sorted(sentences)) for k, x in enumerate(list(sentences[lang])[:25])]
+    assert len(sentences) == 4 and len(planted) == 100
+    given = docs.where("doc_id % 2 = 0").unionByName(spark.createDataFrame(planted, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, given, sf).where("doc_id >= 1000000").collect()}
+    assert kept == {r[0] for r in planted}
+    asked = spark.createDataFrame(planted, docs.schema)
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(asked, language.fit(docs.where("doc_id % 2 = 0"))).collect()}
+    for lang in sentences:
+        own = [found[i] == lang for i, _, x, _, _ in planted if x == lang]
+        assert sum(own) >= 0.8 * len(own)
+
+
 ARTICLE = "<p>One <b>bo</b>ld &lt;text&gt; here, long enough to be an article.<p>Two&nbsp;&amp;  three<ul><li>i<li>j</ul>"
 EXPECTED = "One bold <text> here, long enough to be an article. Two & three i j"
 
