@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +125,38 @@ def test_repeats(spark, monkeypatch, small):
     assert repeats.remove_repeats(documents(spark, ODD[:0])).count() == 0
 
 
+def _repeats_here(rows, groups, parts):
+    """The steps of remove_repeats in this process, where their bounds can be set."""
+    tables = [pa.table({"doc_id": pa.array([i for i, _ in rows if i % groups == g], pa.int64()), "text": pa.array([t for i, t in rows if i % groups == g], pa.string()), "_g": pa.array([g for i, _ in rows if i % groups == g], pa.int64())}) for g in range(groups)]
+    by = lambda tables, key: {k: t.filter(pc.equal(t[key], k)) for t in [pa.concat_tables(tables)] for k in set(t[key].to_pylist())}
+    shared = by([repeats._answer_shared(t) for t in by([repeats._send_minimisers("doc_id", "text", parts)(t) for t in tables], "part").values()], "_g")
+    sent = by([repeats._send_stretches("doc_id", "text", parts)(t, shared[g]) for g, t in enumerate(tables)], "part")
+    marks = by([repeats._answer_marks(t) for t in sent.values()], "_g")
+    out = []
+    for g, t in enumerate(tables):
+        mine = {r["part"]: (r["marks"], r["before"]) for r in marks[g].to_pylist()} if g in marks else {}
+        out += repeats._remove("doc_id", "text", parts, ["doc_id", "text"], False)(t, shared[g], mine).to_pylist()
+    return sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in out), key=str)
+
+
+def test_repeats_around_a_frequent_line(monkeypatch):
+    """No index takes the stretches of all documents that have a line; the answer stays exact."""
+    line = "Licensed under terms that every document of this corpus repeats in full, word by word."
+    draw = np.random.default_rng(7)
+    words = lambda n: " ".join("".join(map(chr, draw.integers(97, 123, 6))) for _ in range(n))
+    rows = [(i, f"{words(15)} {line} {words(15)}") for i in range(300)]
+    rows += [(300 + i, text[60:200] + words(5)) for i, (_, text) in enumerate(rows[::8])]
+    rows += [(i + 1000, t) for i, t, _, _ in ODD if i is not None]
+    largest, real = [], repeats._bounded
+    monkeypatch.setattr(repeats, "_bounded", lambda kept, at, count: largest.extend(count.tolist()) or real(kept, at, count))
+    monkeypatch.setattr(repeats, "HOT", 60, raising=False)
+    assert _repeats_here(rows, 7, 5) == brute_repeats(rows)
+    assert largest and max(largest) <= 60
+    monkeypatch.setattr(repeats, "HOT", 0)  # all strings of shared minimisers are dealt
+    largest.clear()
+    assert _repeats_here(rows, 7, 5) == brute_repeats(rows) and not largest
+
+
 def test_run_index():
     draw = np.random.default_rng(3)
     strings = [bytes(draw.choice(list(b"ab"), draw.integers(1, 30)).tolist()) for _ in range(300)]

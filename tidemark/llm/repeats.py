@@ -14,8 +14,12 @@ decides for itself:
    which of its strings also start in a smaller document.
 4. The group removes what those strings cover.
 
-A minimiser or stretch that very many documents have is sent once by each group,
-so hot ones do not fill a part. The documents are shuffled once; all steps read that shuffle.
+An equal stretch that very many documents have is sent once by each group. Around a
+frequent line nearly every document's stretch differs, though all share a minimiser;
+a minimiser with more than ``HOT`` stretches is therefore not dealt whole: a group sends
+the distinct ``LENGTH``-byte strings in its stretches, each with its smallest document, to
+parts by the hash of the string. So hot ones do not fill a part. The documents are
+shuffled once; all steps read that shuffle.
 
 Defined results: null text is empty; a document shorter than ``LENGTH`` bytes
 loses nothing. Rows under one id never match each other. A row without an id keeps
@@ -43,6 +47,8 @@ LENGTH, GRAM = 50, 26
 SPAN = LENGTH - GRAM + 1
 #: Bytes of text in a group of documents, in a part of the minimisers, and worked on at once.
 GROUP_BYTES, PART_BYTES, BATCH_BYTES = 3_000_000, 6_000_000, 500_000
+#: Stretches of one minimiser that go to one part; of more, their strings are dealt.
+HOT = 12_000
 _LOW = np.uint64(63)
 
 
@@ -118,10 +124,12 @@ def _send_minimisers(key: str, text: str, parts: int):
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(seen)) - 1
         several = docs[first] != docs[last]
-        seen = seen[first]
+        # How often, as a rounded-up power of the fourth root of two.
+        often = np.ceil(4 * np.log2(last - first + 1)).astype(np.uint8) | several.astype(np.uint8) << 7
+        seen, press = seen[first], zstandard.ZstdCompressor(level=3).compress
         part = _part(seen, parts)
         order = np.argsort(part, kind="stable")
-        part, seen, several = part[order], seen[order], several[order]
+        part, seen, often = part[order], seen[order], often[order]
         cuts = np.flatnonzero(np.concatenate((np.ones(min(1, len(part)), bool), part[1:] != part[:-1])))
         rows = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]))
         return pa.table(
@@ -129,9 +137,9 @@ def _send_minimisers(key: str, text: str, parts: int):
                 pa.array([int(part[a]) for a, _ in rows], pa.int64()),
                 pa.array([table["_g"][0].as_py()] * len(rows), pa.int64()),
                 pa.array([_six(seen[a:b]) for a, b in rows], pa.binary()),
-                pa.array([np.packbits(several[a:b]).tobytes() for a, b in rows], pa.binary()),
+                pa.array([press(often[a:b].tobytes()) for a, b in rows], pa.binary()),
             ],
-            names=["part", "_g", "seen", "several"],
+            names=["part", "_g", "seen", "often"],
         )
 
     return run
@@ -143,26 +151,21 @@ def _part(minimiser: np.ndarray, parts: int) -> np.ndarray:
 
 def _answer_shared(table: pa.Table) -> pa.Table:
     seen = [_from_six(x) for x in table["seen"].to_pylist()]
-    several = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(s)).astype(bool) for x, s in zip(table["several"].to_pylist(), seen)]
-    every, flags = np.concatenate(seen), np.concatenate(several)
-    order = np.argsort(every, kind="stable")
-    ranked = every[order]
-    same = np.zeros(len(ranked), bool)
-    same[1:] = ranked[1:] == ranked[:-1]
-    same[:-1] |= same[1:]
-    shared = np.empty(len(ranked), bool)
-    shared[order] = same
-    shared |= flags
+    open_ = zstandard.ZstdDecompressor().decompress
+    every, often = np.concatenate(seen), np.frombuffer(b"".join(map(open_, table["often"].to_pylist())), np.uint8)
+    _, number, groups = np.unique(every, return_inverse=True, return_counts=True)
+    shared = (groups[number] > 1) | (often > 127)
+    hot = shared & (np.bincount(number, 2.0 ** ((often & 127) / 4), len(groups)) > HOT)[number]
     cuts = np.cumsum([0, *map(len, seen)])
-    answers = [_six(every[a:b][shared[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
-    return pa.table([table["_g"].combine_chunks(), pa.array(answers, pa.binary())], names=["_g", "shared"])
+    answers = [[_six(every[a:b][x[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])] for x in (shared, hot)]
+    return pa.table([table["_g"].combine_chunks(), *(pa.array(x, pa.binary()) for x in answers)], names=["_g", "shared", "hot"])
 
 
 class _Stretches:
     """Distinct stretches of a group that hold shared minimisers, by part, and where they are."""
 
     def __init__(self, group: _Group, shared: pa.Table, parts: int):
-        known = np.sort(np.concatenate([*map(_from_six, shared["shared"].to_pylist()), np.zeros(0, np.uint64)]))
+        known, hot = (np.sort(np.concatenate([*map(_from_six, shared[x].to_pylist()), np.zeros(0, np.uint64)])) for x in ("shared", "hot"))
         self.index: dict[bytes, int] = {}
         self.first: list[int] = []  # smallest document of each distinct stretch
         minimisers: list[int] = []
@@ -183,27 +186,73 @@ class _Stretches:
         self.minimisers = np.array(minimisers, np.uint64)
         self.owner = np.array(self.first, np.int64)
         part = _part(self.minimisers, parts)
+        split = np.isin(self.minimisers, hot)
         # In part order, stretches of one minimiser together: what is sent, and answered, has this order.
         self.order = np.lexsort((self.minimisers, part))
+        self.order = self.order[~split[self.order]]
         self.part = part[self.order]
+        self._split(np.flatnonzero(split), parts)
+
+    def _split(self, stretches_: np.ndarray, parts: int) -> None:
+        """Distinct strings of the stretches of hot minimisers, in part order, and each start's stretch, place and string."""
+        every = list(self.index) if len(stretches_) else []
+        some = [every[i] for i in stretches_.tolist()]
+        data = np.frombuffer(b"".join(some), np.uint8)
+        lengths = np.array(list(map(len, some)), np.int64)
+        starts = lengths - LENGTH + 1
+        self.split_stretch = np.repeat(stretches_, starts)
+        self.split_place = np.arange(len(self.split_stretch)) - np.repeat(np.cumsum(starts) - starts, starts)
+        at = np.repeat(np.cumsum(lengths) - lengths, starts) + self.split_place
+        strings = data[at[:, None] + np.arange(LENGTH)] if len(at) else np.zeros((0, LENGTH), np.uint8)
+        strings, self.split_string = _distinct(strings)
+        self.string_owner = _smallest(self.owner[self.split_stretch], self.split_string, len(strings))
+        first = np.arange(len(strings)) * LENGTH
+        part = _part(hash_slices(strings.ravel(), first, first + LENGTH), parts)
+        self.string_order = np.argsort(part, kind="stable")
+        self.strings, self.string_part = strings[self.string_order], part[self.string_order]
+
+    def marks(self, of_stretches: bytes, of_strings: list[np.ndarray]) -> np.ndarray:
+        """The answers as bits of every distinct stretch."""
+        bits = np.zeros(len(self.owner), np.uint32)
+        bits[self.order] = np.frombuffer(of_stretches, "<u4")
+        before = np.zeros(len(self.string_owner), bool)
+        before[self.string_order] = np.concatenate([*of_strings, np.zeros(0, bool)])
+        hit = before[self.split_string] | (self.string_owner[self.split_string] < self.owner[self.split_stretch])
+        np.bitwise_or.at(bits, self.split_stretch[hit], np.uint32(1) << self.split_place[hit].astype(np.uint32))
+        return bits
+
+
+def _distinct(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of LENGTH bytes, and the number of each row's."""
+    # Of one width, strings compare as their bytes do, zeros at the end included.
+    distinct, number = np.unique(np.ascontiguousarray(strings).view(f"S{LENGTH}").ravel(), return_inverse=True)
+    return distinct.view(np.uint8).reshape(-1, LENGTH), number
+
+
+def _smallest(owners: np.ndarray, number: np.ndarray, n: int) -> np.ndarray:
+    out = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(out, number, owners)
+    return out
 
 
 def _send_stretches(key: str, text: str, parts: int):
     def run(table: pa.Table, shared: pa.Table) -> pa.Table:
-        names, columns = ["part", "_g", "minimisers", "owners", "sizes", "data"], [[] for _ in range(6)]
+        names, columns = ["part", "_g", "minimisers", "owners", "sizes", "data", "string_owners", "strings"], [[] for _ in range(8)]
         if table.num_rows and shared.num_rows:
             own = _Stretches(_Group(table, key, text), shared, parts)
             strings = list(own.index)
             g, press = table["_g"][0].as_py(), zstandard.ZstdCompressor(level=3).compress
-            cuts = np.searchsorted(own.part, np.arange(parts + 1)).tolist()
-            for part, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-                if a < b:
+            cuts, split = (np.searchsorted(x, np.arange(parts + 1)).tolist() for x in (own.part, own.string_part))
+            owners = own.string_owner[own.string_order]
+            for part, (a, b, c, d) in enumerate(zip(cuts[:-1], cuts[1:], split[:-1], split[1:])):
+                if a < b or c < d:
                     at = own.order[a:b]
                     some = [strings[i] for i in at.tolist()]
                     row = (part, g, _six(own.minimisers[at]), press(own.owner[at].tobytes()), bytes(map(len, some)), press(b"".join(some)))
+                    row += (press(owners[c:d].tobytes()), press(own.strings[c:d].tobytes())) if c < d else (None, None)
                     for column, value in zip(columns, row):
                         column.append(value)
-        kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 4
+        kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 6
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return run
@@ -237,7 +286,22 @@ def _answer_marks(table: pa.Table) -> pa.Table:
     marks = np.where(owners > owners[first], whole, marks[first])
     cuts = np.cumsum([0, *map(len, sizes)])
     answers = [marks[a:b].astype("<u4").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-    return pa.table([table["_g"].combine_chunks(), table["part"].combine_chunks(), pa.array(answers, pa.binary())], names=["_g", "part", "marks"])
+    of_strings = _answer_strings(table)
+    return pa.table([table["_g"].combine_chunks(), table["part"].combine_chunks(), pa.array(answers, pa.binary()), pa.array(of_strings, pa.binary())], names=["_g", "part", "marks", "before"])
+
+
+def _answer_strings(table: pa.Table) -> list[bytes | None]:
+    """For each group's strings, packed, if a smaller document of another group has it."""
+    open_ = zstandard.ZstdDecompressor().decompress
+    owners = [np.frombuffer(open_(x), np.int64) if x else np.zeros(0, np.int64) for x in table["string_owners"].to_pylist()]
+    if not any(map(len, owners)):
+        return [None] * len(owners)
+    strings = np.frombuffer(b"".join(open_(x) for x in table["strings"].to_pylist() if x), np.uint8).reshape(-1, LENGTH)
+    distinct, number = _distinct(strings)
+    every = np.concatenate(owners)
+    before = _smallest(every, number, len(distinct))[number] < every
+    cuts = np.cumsum([0, *map(len, owners)])
+    return [np.packbits(before[a:b]).tobytes() if a < b else None for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def _bounded(kept: np.ndarray, at: np.ndarray, count: np.ndarray, most: int = 12_000) -> Iterator[np.ndarray]:
@@ -254,11 +318,12 @@ def _bounded(kept: np.ndarray, at: np.ndarray, count: np.ndarray, most: int = 12
 
 
 def _remove(key: str, text: str, parts: int, names: list[str], as_text: bool):
-    def run(table: pa.Table, shared: pa.Table, marks: dict[int, bytes]) -> pa.Table:
+    def run(table: pa.Table, shared: pa.Table, marks: dict[int, tuple[bytes, bytes | None]]) -> pa.Table:
         group = _Group(table, key, text)
         own = _Stretches(group, shared, parts)
-        bits = np.zeros(len(own.owner), np.uint32)
-        bits[own.order] = np.frombuffer(b"".join(marks[p] for p in sorted(marks)), "<u4")
+        size = np.bincount(own.string_part, minlength=parts)
+        before = [np.unpackbits(np.frombuffer(marks[p][1], np.uint8), count=size[p]).astype(bool) for p in sorted(marks) if size[p]]
+        bits = own.marks(b"".join(marks[p][0] for p in sorted(marks)), before)
         sizes, removed, spans, kept = [], [], [], []
         for (at, data, ends, _), (number, row, start, end) in zip(group.batches(), own.found):
             edge = np.zeros(len(data) + 1, np.int64)
@@ -302,14 +367,16 @@ def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text"
     groups, parts = parts_for(total, GROUP_BYTES), parts_for(total, PART_BYTES)
     own = rows.where(F.col(key).isNotNull()).withColumn("_g", F.pmod(F.xxhash64(key), F.lit(groups)).cast("long"))
 
-    seen = own.groupBy("_g").applyInArrow(_send_minimisers(key, text, parts), "part long, _g long, seen binary, several binary")
-    shared = seen.groupBy("part").applyInArrow(_answer_shared, "_g long, shared binary")
+    seen = own.groupBy("_g").applyInArrow(_send_minimisers(key, text, parts), "part long, _g long, seen binary, often binary")
+    shared = seen.groupBy("part").applyInArrow(_answer_shared, "_g long, shared binary, hot binary")
     sent = own.groupBy("_g").cogroup(shared.groupBy("_g")).applyInArrow(
-        _send_stretches(key, text, parts), "part long, _g long, minimisers binary, owners binary, sizes binary, data binary"
+        _send_stretches(key, text, parts),
+        "part long, _g long, minimisers binary, owners binary, sizes binary, data binary, string_owners binary, strings binary",
     )
-    marks = sent.groupBy("part").applyInArrow(_answer_marks, "_g long, part long, marks binary")
-    answers = shared.withColumns({"part": F.lit(None).cast("long"), "marks": F.lit(None).cast("binary")}).unionByName(
-        marks.withColumn("shared", F.lit(None).cast("binary"))
+    marks = sent.groupBy("part").applyInArrow(_answer_marks, "_g long, part long, marks binary, before binary")
+    none = F.lit(None).cast("binary")
+    answers = shared.withColumns({"part": F.lit(None).cast("long"), "marks": none, "before": none}).unionByName(
+        marks.withColumns({"shared": none, "hot": none})
     )
     schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in results[:3]), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
     remove = _remove(key, text, parts, names, as_text)
@@ -317,7 +384,7 @@ def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text"
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table([pa.array([], f.type) for f in table.select(names).schema] + [pa.array([], pa.int64())] * 3 + [pa.array([], pa.string() if as_text else pa.binary())], names=[*names, *results])
-        mine = {p: m for p, m in zip(answers["part"].to_pylist(), answers["marks"].to_pylist()) if m is not None}
+        mine = {p: (m, b) for p, m, b in zip(*(answers[x].to_pylist() for x in ("part", "marks", "before"))) if m is not None}
         return remove(table, answers.filter(answers["shared"].is_valid()), mine)
 
     done = own.groupBy("_g").cogroup(answers.groupBy("_g")).applyInArrow(finish, schema)
