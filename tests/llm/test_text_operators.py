@@ -136,6 +136,29 @@ def test_one_sentence_documents_keep_their_language(spark):
         assert sum(own) >= 0.8 * len(own)
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<form id=aspnetForm><input name=q>", "<button>go</button></form>"),
+        ("<div class='page has-sidebar'>", "<div class=sidebar>s</div></div>"),
+        ("<div class='search-results'>", "</div>"),
+        ("<section class='section social-science'>", "</section>"),
+        ("<div class='with-menu'>", "<ul class=menu><li>m</ul></div>"),
+        ("<div class=modal>", "</div>"),
+        ("<div class=sidebar>", "</div>"),
+    ],
+)
+def test_wrapped_articles(before, after):
+    for tag in ("article", "main", "div") if "modal" not in before else ("article",):
+        html = f"<body><nav>n</nav>{before}<{tag}>{ARTICLE}</{tag}>{after}<div class=comment-list><p>{'no ' * 99}</div>"
+        assert pages.Page(html).extract([]) == EXPECTED
+
+
+def test_math_text():
+    html = "<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</article>"
+    assert pages.Page(html).extract([]) == "So x=2 holds."
+
+
 ARTICLE = "<p>One <b>bo</b>ld &lt;text&gt; here, long enough to be an article.<p>Two&nbsp;&amp;  three<ul><li>i<li>j</ul>"
 EXPECTED = "One bold <text> here, long enough to be an article. Two & three i j"
 

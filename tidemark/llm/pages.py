@@ -6,6 +6,10 @@ vote. Votes are counted per host. Every page is then extracted from the containe
 with its host's winning path, so that a page whose own scores mislead follows
 the rest of its site; a page that holds none of its host's paths uses its own best.
 
+Menus, notices and the like are known by their elements, roles and whole classes or ids.
+Noise words and forms do not drop an element that holds the page's only article, or
+most of its text outside of links; comments never, and notices never for their text.
+
 Defined results: null or empty html, and a page of which only notices, menus and
 the like remain, gives empty text and 0 characters. A page without a usable url
 belongs to the host ''. Unclosed and stray tags are taken as browsers take them,
@@ -34,12 +38,13 @@ PATHS_PER_HOST = 8
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 DROPPED = frozenset(
-    "head script style template noscript textarea title xmp iframe noembed noframes svg math object canvas audio video "
-    "nav footer aside form button select option datalist dialog menu input label fieldset".split()
+    "head script style template noscript textarea title xmp iframe noembed noframes svg object canvas audio video annotation annotation-xml "
+    "nav footer aside button select option datalist dialog menu input label fieldset".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr img".split()
+    "strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder "
+    "munderover mstyle mpadded semantics".split()
 )
 CONTAINERS = frozenset("article main section div td body html blockquote center".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -63,6 +68,18 @@ NOISE_WORDS = frozenset(
     "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social related recommended widget toolbar pagination pager masthead topbar search form".split()
 )
+#: Of these, what never is a wrapper of the page's text, and what holds others' text.
+FIRM_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr notice notices "
+    "notification alert popup modal newsletter subscribe subscription".split()
+)
+COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+#: Words that leave a class of noise words one: comment-list, but not has-sidebar or social-science.
+NEUTRAL_WORDS = frozenset(
+    "area bar block body bottom box button buttons cell col column container content entry footer group header head holder "
+    "inner item items left links list main outer panel post posts right row section site slot top unit wrap wrapper page article "
+    "primary secondary global local mobile desktop".split()
+)
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 HEADER_WORDS = frozenset(("header", "head"))
 
@@ -78,44 +95,90 @@ class Page:
 
     def __init__(self, text: str):
         # Element 0 is the page itself.
-        self.parent, self.tag, self.classes, self.state, self.end = [-1], ["html"], [""], [0], [0]
+        self.parent, self.tag, self.classes, self.mark, self.end = [-1], ["html"], [""], [0], [0]
         self.texts: list[tuple[int, str]] = []
         self._read(text)
+        # States: 0 kept, 1 inside a header (only headings kept), 2 dropped.
+        self.state = self._states(self._wrappers())
 
-    # States: 0 kept, 1 inside a header (only headings kept), 2 dropped.
+    # Marks: 1 a header, 2 dropped; by words or as a form: 3, 4 never a wrapper of most of the text, 5 comments.
     def _open(self, tag: str, attributes: str, stack: list[int]) -> int:
-        above, state, classes = stack[-1], self.state[stack[-1]], ""
+        above, mark, classes = stack[-1], 3 if tag == "form" else 0, ""
         if attributes and attributes.strip(" /"):
             given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
             classes = given.get("class", "")
-            if state < 2 and tag not in ("html", "body"):
-                found = {w.lower() for w in _WORD.findall(f"{classes} {given.get('id', '')}")}
+            if tag not in ("html", "body"):
+                found = self._words(f"{classes} {given.get('id', '')}")
                 styled = given.get("style", "").replace(" ", "").lower()
-                if (
-                    found & NOISE_WORDS
-                    or given.get("role", "").lower() in NOISE_ROLES
-                    or "hidden" in given
-                    or given.get("aria-hidden") == "true"
-                    or "display:none" in styled
-                ):
-                    state = 2
-                elif found & HEADER_WORDS:
-                    state = max(state, 1)
+                if given.get("role", "").lower() in NOISE_ROLES or "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in styled:
+                    mark = 2
+                elif found & NOISE_WORDS:
+                    mark = 5 if found & COMMENT_WORDS else 4 if found & FIRM_WORDS else 3
+                elif found & HEADER_WORDS and not mark:
+                    mark = 1
         if tag in DROPPED:
-            state = 2
-        elif tag == "header":
-            state = max(state, 1)
-        elif tag in HEADINGS and state == 1 and self._inside(stack, "article", "main"):
-            state = 0
+            mark = 2
+        elif tag == "header" and not mark:
+            mark = 1
         self.parent.append(above)
         self.tag.append(tag)
         self.classes.append(classes)
-        self.state.append(state)
+        self.mark.append(mark)
         self.end.append(0)
         return len(self.tag) - 1
 
-    def _inside(self, stack: list[int], *tags: str) -> bool:
-        return any(self.tag[i] in tags for i in stack)
+    @staticmethod
+    def _words(names: str) -> set[str]:
+        """Words of the classes and ids that say nothing else."""
+        found: set[str] = set()
+        for name in names.split():
+            own = {w.lower() for w in _WORD.findall(name)}
+            if all(w in NOISE_WORDS or w in HEADER_WORDS or w in NEUTRAL_WORDS or w.isdigit() for w in own):
+                found |= own
+        return found
+
+    def _states(self, wrappers: set[int]) -> list[int]:
+        """State of each element; marks by words and forms count unless they are wrappers."""
+        states, inside = [0], [False]
+        for node in range(1, len(self.tag)):
+            above, mark, tag = self.parent[node], self.mark[node], self.tag[node]
+            state = states[above]
+            inside.append(inside[above] or self.tag[above] in ("article", "main"))
+            if mark == 2 or mark > 2 and node not in wrappers:
+                state = 2
+            elif mark == 1:
+                state = max(state, 1)
+            if state == 1 and tag in HEADINGS and inside[node]:
+                state = 0
+            states.append(state)
+        return states
+
+    def _wrappers(self) -> set[int]:
+        """Elements of noise words and forms that hold the page's article or most of its text outside of links."""
+        soft = {i for i, m in enumerate(self.mark) if m > 2}
+        if not soft:
+            return soft
+        states, size = self._states(soft), [0] * len(self.tag)
+        linked, above = [False] * len(self.tag), [0] * len(self.tag)  # above: elements of ``soft`` on the way
+        comments = [False] * len(self.tag)
+        for node in range(1, len(self.tag)):
+            up = self.parent[node]
+            linked[node] = linked[up] or self.tag[node] == "a"
+            above[node] = above[up] + (node in soft)
+            comments[node] = comments[up] or self.mark[node] == 5
+        for node, text in self.texts:
+            if not states[node] and not linked[node] and not comments[node]:
+                size[node] += len(text.strip())
+        for node in range(len(self.tag) - 1, 0, -1):
+            size[self.parent[node]] += size[node]
+        kept = {i for i in soft if self.mark[i] == 3 and 2 * size[i] > size[0]}
+        articles = [i for i, tag in enumerate(self.tag) if tag in ("article", "main") and i not in soft and not comments[i] and states[i] < 2 and size[i]]
+        if articles and all(above[i] for i in articles):
+            node = max(articles, key=lambda i: (size[i], -i))
+            while (node := self.parent[node]) > 0:
+                if node in soft:
+                    kept.add(node)
+        return kept
 
     def _close(self, stack: list[int], names: tuple[str, ...], bounds: tuple[str, ...] = ()) -> None:
         for k in range(len(stack) - 1, 0, -1):
