@@ -1,10 +1,10 @@
 """A run-length index of many short strings.
 
-The Burrows-Wheeler transform of the strings is kept as runs, with the suffix at
-each run's ends as sample. Suffixes end where their string ends; equal ones are
-ordered by string. Matching statistics, as far as they reach ``depth``, come from
-streaming strings backwards through the runs: the index knows the intervals of
-suffixes that share ``depth`` symbols and the smallest owner in each.
+The Burrows-Wheeler transform of the strings is kept as runs. Suffixes end where
+their string ends; equal ones are ordered by string. Streaming strings backwards
+through the runs finds each suffix's place; no matching statistics are computed:
+the intervals of sorted suffixes that share ``depth`` symbols, and the smallest
+owner in each, are taken from the suffix array while it is there.
 """
 
 from __future__ import annotations
@@ -52,7 +52,6 @@ class RunIndex:
         starts = np.flatnonzero(np.concatenate(([True], transform[1:] != transform[:-1])))
         self.run_start, self.run_symbol = starts, transform[starts]
         ends = np.append(starts[1:], total) - 1
-        self.samples = np.stack((order[starts], order[ends]), 1)
         sizes = ends - starts + 1
         # LF of a run's first entry: entries with smaller symbols, then earlier runs of its own.
         by_symbol = np.argsort(self.run_symbol, kind="stable")
