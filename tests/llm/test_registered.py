@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 

@@ -139,3 +139,11 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000)
     if size:
         table = pa.Table.from_batches(held)
         yield table, np.append(starts(table), table.num_rows)
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
