@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import lean, slices
 
 #: Text bytes handled at once; bounds a worker's memory, not the text's length.
 BATCH_BYTES = 2_000_000
-#: Merged pieces a worker remembers; when full, it starts anew.
-CACHE_PIECES = 600_000
+#: Merged pieces a task remembers; when full, it starts anew.
+CACHE_PIECES = 300_000
 #: Longer pieces are merged one by one, with a heap.
 LONG_PIECE = 64
 #: Rank of a pair that does not merge.
@@ -343,7 +343,7 @@ def encode(rows: DataFrame, path: str, text: str = "text", ids: str = "ids", off
                         columns.append(pa.array([vocabulary.decode(x, p) for x, p in zip(numbers, places)], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, *results])
 
-    return rows.select(*dict.fromkeys([*names, text])).mapInArrow(run, schema)
+    return rows.select(*dict.fromkeys([*names, text])).mapInArrow(lean(run, lambda: _vocabulary(path).cache.clear()), schema)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -358,4 +358,4 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded
             found = [None if x is None else vocabulary.decode(np.frombuffer(x, "<u4")) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(found, pa.binary())], names=[*names, decoded])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

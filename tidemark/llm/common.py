@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import inspect
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +89,9 @@ class Powers:
             self.up, self.down = (self._powers(x, n) for x in (self.base, self.inverse))
         return self.up[:n], self.down[:n]
 
+    def clear(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
     @staticmethod
     def _powers(base: int, n: int) -> np.ndarray:
         out = np.full(n, base, np.uint64)
@@ -107,6 +112,57 @@ def hash_slices(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
     return mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64))
 
 
+def _release() -> None:
+    """Gives memory that is free in this process back to the system; a worker waits for its next task with little."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def lean(run: Callable, *caches) -> Callable:
+    """A function for Arrow batches, or for one or two Arrow tables, that empties the caches and frees memory when it is done.
+
+    Workers outlive their tasks, and a task of another stage, or the JVM beside
+    them, needs what they would keep. ``caches`` are functions that empty one.
+    """
+
+    def done() -> None:
+        for clear in caches:
+            clear()
+        _release()
+
+    if inspect.isgeneratorfunction(run):
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            try:
+                yield from run(batches)
+            finally:
+                done()
+
+        return task
+
+    if len(inspect.signature(run).parameters) == 1:
+
+        def group(table: pa.Table) -> pa.Table:
+            try:
+                return run(table)
+            finally:
+                done()
+
+        return group
+
+    def pair(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return run(left, right)
+        finally:
+            done()
+
+    return pair
+
+
 def parts_for(size: float, per_part: float, least: int = 1) -> int:
     """Number of parts of about ``per_part`` that hold ``size``."""
     return max(least, int(-(-size // per_part)))

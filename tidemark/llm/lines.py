@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import slices, unused
+from tidemark.llm.common import lean, slices, unused
 from tidemark.session import scratch_path
 from tidemark.sinks.scratch import materialize
 
@@ -73,7 +73,7 @@ def _pairs(rows: DataFrame, text: str, doc_id: str, min_chars: int) -> DataFrame
                 docs = part.column("doc").take(pa.array(at, pa.int64()))
                 yield pa.RecordBatch.from_arrays([docs, *(pa.array(np.ascontiguousarray(h)) for h in hashes.T)], names=["doc", *HASH])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 class Runs:
@@ -197,4 +197,4 @@ def remove_lines(rows: DataFrame, text: str = "text", doc_id: str = "doc_id", mi
                 arrays = [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *arrays], names=[*names, *results])
 
-    return joined.select(*dict.fromkeys([*names, text, lost])).mapInArrow(run, schema)
+    return joined.select(*dict.fromkeys([*names, text, lost])).mapInArrow(lean(run), schema)

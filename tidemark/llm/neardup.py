@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, as_bytes, hash_slices, mix, runs, slices, words
+from tidemark.llm.common import LOWER, as_bytes, hash_slices, lean, mix, runs, slices, words
 from tidemark.llm.graph import components
 from tidemark.sinks.scratch import materialize
 
@@ -118,7 +118,7 @@ def _sketches(documents: DataFrame, key: str, text: str, width: int) -> DataFram
                 )
 
     given = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return given.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bits binary, bands array<long>")
+    return given.mapInArrow(lean(run), "doc_id long, n_shingles long, digest binary, bits binary, bands array<long>")
 
 
 def _tiles(rows: DataFrame, key: str, member: str, chunks: Column) -> DataFrame:
@@ -231,16 +231,16 @@ def groups(documents: DataFrame, key: str = "doc_id", text: str = "text", width:
     buckets = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     placed = entries.join(buckets, "bucket").join(nodes.select("node", "bits"), "node")
     tiles = _tiles(placed, "bucket", "node", F.ceil(F.col("size") / BUCKET_CHUNK)).select("bucket", "tile", "node", "bits")
-    close = components(tiles.mapInArrow(_similar_sketches, "a long, b long"))
+    close = components(tiles.mapInArrow(lean(_similar_sketches), "a long, b long"))
     close = materialize(spark, close.select("node", F.col("root").alias("group")), "candidates")
 
     sizes = close.join(nodes.select("node", "n"), "node").groupBy("group").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
     texts = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).where(F.col("node").isNotNull())
     # The same plan at every size; texts are dealt by id once.
-    sets = texts.join(close.hint("merge"), "node").select("node", "group", "text").mapInArrow(_full_sets(width), "node long, group long, shingles binary")
+    sets = texts.join(close.hint("merge"), "node").select("node", "group", "text").mapInArrow(lean(_full_sets(width)), "node long, group long, shingles binary")
     chunks = F.ceil(F.greatest(F.col("size") / GROUP_CHUNK, F.col("total") / GROUP_SHINGLES))
     tiles = _tiles(sets.join(sizes, "group"), "group", "node", chunks).select("group", "tile", "node", "shingles")
-    linked = components(tiles.mapInArrow(_linked_sets(share), "a long, b long"))
+    linked = components(tiles.mapInArrow(lean(_linked_sets(share)), "a long, b long"))
 
     named = nodes.select("digest", "node").join(linked, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     # Rows under one id may have several sets, all one node.

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import as_bytes, hash_slices, mix, parts_for, slices
+from tidemark.llm.common import as_bytes, hash_slices, lean, mix, parts_for, slices
 from tidemark.llm.rindex import RunIndex
 
 LENGTH, GRAM = 50, 26
@@ -367,13 +367,13 @@ def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text"
     groups, parts = parts_for(total, GROUP_BYTES), parts_for(total, PART_BYTES)
     own = rows.where(F.col(key).isNotNull()).withColumn("_g", F.pmod(F.xxhash64(key), F.lit(groups)).cast("long"))
 
-    seen = own.groupBy("_g").applyInArrow(_send_minimisers(key, text, parts), "part long, _g long, seen binary, often binary")
-    shared = seen.groupBy("part").applyInArrow(_answer_shared, "_g long, shared binary, hot binary")
+    seen = own.groupBy("_g").applyInArrow(lean(_send_minimisers(key, text, parts)), "part long, _g long, seen binary, often binary")
+    shared = seen.groupBy("part").applyInArrow(lean(_answer_shared), "_g long, shared binary, hot binary")
     sent = own.groupBy("_g").cogroup(shared.groupBy("_g")).applyInArrow(
-        _send_stretches(key, text, parts),
+        lean(_send_stretches(key, text, parts)),
         "part long, _g long, minimisers binary, owners binary, sizes binary, data binary, string_owners binary, strings binary",
     )
-    marks = sent.groupBy("part").applyInArrow(_answer_marks, "_g long, part long, marks binary, before binary")
+    marks = sent.groupBy("part").applyInArrow(lean(_answer_marks), "_g long, part long, marks binary, before binary")
     none = F.lit(None).cast("binary")
     answers = shared.withColumns({"part": F.lit(None).cast("long"), "marks": none, "before": none}).unionByName(
         marks.withColumns({"shared": none, "hot": none})
@@ -387,7 +387,7 @@ def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text"
         mine = {p: (m, b) for p, m, b in zip(*(answers[x].to_pylist() for x in ("part", "marks", "before"))) if m is not None}
         return remove(table, answers.filter(answers["shared"].is_valid()), mine)
 
-    done = own.groupBy("_g").cogroup(answers.groupBy("_g")).applyInArrow(finish, schema)
+    done = own.groupBy("_g").cogroup(answers.groupBy("_g")).applyInArrow(lean(finish), schema)
     size, whole = F.coalesce(F.octet_length(text), F.lit(0)).cast("long"), F.coalesce(F.col(text), F.lit(""))
     without = rows.where(F.col(key).isNull()).select(
         "*", size.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), (whole if as_text else whole.cast("binary")).alias("kept")
