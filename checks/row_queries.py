@@ -155,7 +155,7 @@ def audit(spark, sf):
     paths = files.select(F.regexp_extract("filename", "^(supp_[0-9]+)", 1).alias("_short"), "relative_path")
     report = _report(spark, sf).join(paths, F.col("_file") == F.col("_short"), "left")
     report = report.withColumn("_file", F.coalesce("relative_path", F.col("_file"))).drop("_short", "relative_path")
-    lines = audit_rows(report, file_batches(files, size=10), feeds.run_ts(), "run-1")
+    lines = audit_rows(report, file_batches(files, size=10), feeds.run_ts(), "run-1", unreported="SUCCESS")
     return lines.select(
         "file_name",
         "client_id",

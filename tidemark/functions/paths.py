@@ -55,6 +55,11 @@ def file_read() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
+def unschemed(path: Column) -> Column:
+    """A local path as inventories and listings agree on it, without its scheme."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def literal_path(path: Column) -> Column:
     """The path as a reader's argument, with the characters of patterns standing for themselves."""
     return F.regexp_replace(path, r"([\\{}\[\]*?])", r"\\$1")
@@ -64,7 +69,7 @@ PATH_PARTS = ("client_id", "table_id", "tabledata_folder", "filename", "relative
 
 
 def parse_paths(listing: DataFrame) -> DataFrame:
-    """``full_file_path, last_modified`` plus every part read from the path; a parsed listing stays as it is."""
+    """``full_file_path, last_modified`` and ``length`` if known, plus every part read from the path; a parsed listing stays as it is."""
     if set(PATH_PARTS) <= set(listing.columns):
         return listing
     path = F.col("full_file_path")
@@ -80,5 +85,6 @@ def parse_paths(listing: DataFrame) -> DataFrame:
             folder_of(path).alias("tabledata_folder"),
             filename_of(path).alias("filename"),
             zone_relative(path).alias("relative_path"),
+            *(c for c in listing.columns if c == "length"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.paths import parse_paths
+from tidemark.functions.paths import parse_paths, unschemed
 from tidemark.functions.values import scope_items
 
 MANIFEST_COLUMNS = ("full_file_path", "client_id", "table_id", "tabledata_folder", "filename", "last_modified")
@@ -38,7 +38,8 @@ def succeeded(audit: DataFrame) -> DataFrame:
 
 def unprocessed_files(files: DataFrame, audit: DataFrame) -> DataFrame:
     """Files without a successful load; failed ones come back."""
-    return files.join(succeeded(audit), "full_file_path", "left_anti")
+    done = succeeded(audit).select(unschemed(F.col("full_file_path")).alias("_done"))
+    return files.join(done, unschemed(F.col("full_file_path")) == F.col("_done"), "left_anti")
 
 
 def unprocessed_slices(files: DataFrame, audit: DataFrame, registry: DataFrame) -> DataFrame:
@@ -98,7 +99,12 @@ def full_manifest(
     if tenant_tables_only and scope_items(clients):
         files = active_tables(files, registry, "is_multi_tenant")
     files = unprocessed_slices(files, audit, registry) if whole_slices else unprocessed_files(files, audit)
-    return files.select(*MANIFEST_COLUMNS)
+    return _manifest(files)
+
+
+def _manifest(files: DataFrame) -> DataFrame:
+    """The manifest's columns, with the sizes where the listing knows them."""
+    return files.select(*MANIFEST_COLUMNS, *(c for c in files.columns if c == "length"))
 
 
 def after_snapshot(files: DataFrame, state: DataFrame) -> DataFrame:
@@ -124,7 +130,7 @@ def delta_manifest(
     """Change files to apply."""
     files = after_snapshot(parse_paths(listing), state)
     files = in_scope(active_tables(files, registry, "is_active_delta_load"), registry, clients, tables)
-    return unprocessed_files(files, audit).select(*MANIFEST_COLUMNS)
+    return _manifest(unprocessed_files(files, audit))
 
 
 def manifest_counts(manifest: DataFrame) -> DataFrame:

@@ -2,50 +2,22 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import CHANGE_FILE_PATTERN, SNAPSHOT_FILE_PATTERN, parse_paths
 from tidemark.sinks.scratch import materialize
-
-_MAX_PARTITIONS_CONF = "spark.sql.files.maxPartitionNum"
-LISTING_PARTITIONS = 1024
+from tidemark.sources.storage import file_statuses
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root`` with its modification time.
-
-    ``binaryFile`` lists in parallel and, with ``content`` not selected, opens nothing.
-    It leaves out files of zero bytes, which hold no rows either.
-    """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select(F.col("path").alias("full_file_path"), F.col("modificationTime").alias("last_modified"))
-    )
-
-
-@contextmanager
-def _few_partitions(spark: SparkSession):
-    """Scan partitions are cut by file size; a scan that opens no file needs few."""
-    before = spark.conf.get(_MAX_PARTITIONS_CONF, None)
-    spark.conf.set(_MAX_PARTITIONS_CONF, LISTING_PARTITIONS)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_MAX_PARTITIONS_CONF)
-        else:
-            spark.conf.set(_MAX_PARTITIONS_CONF, before)
+    """Every file below ``root`` with its modification time and size, empty ones included; listed in tasks."""
+    return file_statuses(spark, root)
 
 
 def take_listing(spark: SparkSession, root: str) -> DataFrame:
     """The parsed listing as a written table: one moment's files, read as often as needed."""
-    with _few_partitions(spark):
-        return materialize(spark, parse_paths(list_files(spark, root)), "listing")
+    return materialize(spark, parse_paths(list_files(spark, root)), "listing")
 
 
 def matching(listing: DataFrame, pattern: str) -> DataFrame:
