@@ -50,6 +50,7 @@ def _listing_sql(name: str, path: str) -> str:
   FROM orders)"""
 
 
+# Fixed values, restated for DuckDB: the path patterns, the anchor and the time format of the landing zone.
 def _parsed_sql(name: str, source: str) -> str:
     return f"""
 {name} AS (
