@@ -18,7 +18,7 @@ CHANGE_COLUMNS = ("lsn", "seq", "change_type")
 
 def _first_reason(reasons: list[str]) -> str:
     """The first reason that is not NULL, as SQL text."""
-    return f"coalesce({', '.join(reasons)}, CAST(NULL AS string))"
+    return f"coalesce({', '.join([*reasons, 'CAST(NULL AS string)'])})"
 
 
 def _reason(condition: str, text: str) -> str:
