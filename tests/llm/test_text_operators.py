@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -151,12 +152,12 @@ def test_one_sentence_documents_keep_their_language(spark):
 def test_wrapped_articles(before, after):
     for tag in ("article", "main", "div") if "modal" not in before else ("article",):
         html = f"<body><nav>n</nav>{before}<{tag}>{ARTICLE}</{tag}>{after}<div class=comment-list><p>{'no ' * 99}</div>"
-        assert pages.Page(html).extract([]) == EXPECTED
+        assert pages.Page(html).extract() == EXPECTED
 
 
 def test_math_text():
     html = "<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</article>"
-    assert pages.Page(html).extract([]) == "So x=2 holds."
+    assert pages.Page(html).extract() == "So x=2 holds."
 
 
 ARTICLE = "<p>One <b>bo</b>ld &lt;text&gt; here, long enough to be an article.<p>Two&nbsp;&amp;  three<ul><li>i<li>j</ul>"
@@ -194,6 +195,48 @@ def test_pages_follow_their_host(spark):
     assert pages.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "layout",
+    [
+        "<div class=wrap><div class=lead>{0}{1}</div><div class=text>{2}{3}{4}{5}{6}</div></div>",
+        "<div class=post><div class=intro>{0}</div><div class=body>{1}{2}{3}{4}{5}</div><div class=outro>{6}</div></div>",
+        "<div class=content>{0}{1}<div class=part>{2}{3}<div class=part>{4}</div></div>{5}{6}</div>",
+    ],
+)
+def test_articles_in_several_boxes(layout):
+    texts = [f"Paragraph {n} of the article, with some words." for n in range(7)]
+    links = "".join(f"<li><a href=x>other page number {n}</a>" for n in range(9))
+    html = f"<body><nav>menu</nav><div id=all>{layout.format(*(f'<p>{t}</p>' for t in texts))}<ul>{links}</ul></div><footer>f</footer>"
+    assert pages.Page(html).extract() == " ".join(texts)
+
+
+def test_deep_pages_take_linear_time():
+    start = time.perf_counter()
+    page = pages.Page("<div class=a>x" * 10_000 + "</p></section>" * 10_000)
+    assert page.extract(page.paths()[1]) == " ".join("x" * 10_000)
+    assert time.perf_counter() - start < 5
+
+
+def test_hosts_with_many_layouts(spark):
+    # Of each layout three pages agree on the text, and one has a longer box beside it.
+    box = "<body><div class='box'>{}</div><div class=text-{}>" + "<p>the article of this page goes here</p>" * 5 + "</div>"
+    letters = "abcdefghijklmnop"
+    rows = [(k, "http://one.example", box.format("s" if k % 4 else "longer than the article " * 30, letters[k // 4])) for k in range(4 * len(letters))]
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    # The box is voted for by one page of each layout, so by more pages than any one layout's text.
+    held, brute = {}, {}
+    for number, _, html in rows:
+        page = pages.Page(html)
+        held[number] = {page.paths()[i] for i in page.held()}
+        best = page.paths()[page.best()[0]]
+        brute[best] = brute.get(best, 0) + 1
+    assert len(brute) == len(letters) + 1
+    for r in found:
+        path = min(held[r["page_id"]] & set(brute), key=lambda p: (-brute[p], p))
+        assert r["text"] == pages.Page(r["html"]).extract(path) and r["n_chars"] == len(r["text"])
+    assert len(found) == len(rows)
+
+
 def test_mix(spark):
     rows = [(i, "x" * (i % 50), "big" if i % 3 else None, i) for i in range(6000)] + [(None, None, "big", 0), (7, "twice", "big", 1), (7, "twice", "big", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copy long")

@@ -3,8 +3,12 @@
 Each page's containers are scored by the text of their blocks; the path of the
 best container, generalised to tags and classes without numbers, is the page's
 vote. Votes are counted per host. Every page is then extracted from the container
-with its host's winning path, so that a page whose own scores mislead follows
-the rest of its site; a page that holds none of its host's paths uses its own best.
+whose path has most votes of its host among all paths the page holds, so that a page
+whose own scores mislead follows the rest of its site, whatever its number of layouts.
+Paths are kept as their depth and a digest, computed from the page's root down.
+
+A container without an article around it grows over what stands beside it: to all that holds
+it and, besides, only headings, or less text than it has, of which at most a third is links.
 
 Menus, notices and the like are known by their elements, roles and whole classes or ids.
 Noise words and forms do not drop an element that holds the page's only article, or
@@ -13,27 +17,26 @@ most of its text outside of links; comments never, and notices never for their t
 Defined results: null or empty html, and a page of which only notices, menus and
 the like remain, gives empty text and 0 characters. A page without a usable url
 belongs to the host ''. Unclosed and stray tags are taken as browsers take them,
-near enough; an unclosed script, style or comment ends with the page. Equal votes
-go to the smaller path. Repeated rows get equal results and each has a vote.
+near enough; an unclosed script, style or comment ends with the page. Of paths with
+equal votes the one nearer to the root wins, then that of the smaller digest. Repeated rows get equal results and each has a vote.
 Other columns pass through; a column with the name of a result is replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sinks.scratch import materialize
 
-#: Winning paths kept per host, for sites with a few layouts.
-PATHS_PER_HOST = 8
-
 # Elements and words that mark what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -97,9 +100,11 @@ class Page:
         # Element 0 is the page itself.
         self.parent, self.tag, self.classes, self.mark, self.end = [-1], ["html"], [""], [0], [0]
         self.texts: list[tuple[int, str]] = []
+        self.open: dict[str, int] = {}  # open elements of each tag
         self._read(text)
         # States: 0 kept, 1 inside a header (only headings kept), 2 dropped.
         self.state = self._states(self._wrappers())
+        self._look_up()
 
     # Marks: 1 a header, 2 dropped; by words or as a form: 3, 4 never a wrapper of most of the text, 5 comments.
     def _open(self, tag: str, attributes: str, stack: list[int]) -> int:
@@ -181,11 +186,14 @@ class Page:
         return kept
 
     def _close(self, stack: list[int], names: tuple[str, ...], bounds: tuple[str, ...] = ()) -> None:
+        if not any(self.open.get(name) for name in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             tag = self.tag[stack[k]]
             if tag in names:
                 for i in stack[k:]:
                     self.end[i] = len(self.tag)
+                    self.open[self.tag[i]] -= 1
                 del stack[k:]
                 return
             if tag in bounds:
@@ -222,60 +230,79 @@ class Page:
             elif tag in RAW:
                 close = _END[tag].search(text, at)
                 at = size if close is None else close.start()
-                stack.append(node)
+                self._push(stack, node)
             else:
-                stack.append(node)
+                self._push(stack, node)
         for i in stack:
             self.end[i] = len(self.tag)
 
-    def path(self, node: int) -> str:
-        parts = []
-        while node > 0:
+    def _push(self, stack: list[int], node: int) -> None:
+        stack.append(node)
+        self.open[self.tag[node]] = self.open.get(self.tag[node], 0) + 1
+
+    def _look_up(self) -> None:
+        """What lies above each element, and the kept text inside it, each taken once from its parent or its range."""
+        size = len(self.tag)
+        prose, linked = [0] * (size + 1), [0] * (size + 1)  # of the elements before each, headings left out
+        self.article, self.link, self.inner, self.outer = [-1] * size, [-1] * size, [-1] * size, [-1] * size
+        headed = [False] * size
+        for node in range(size):
+            up, tag = self.parent[node], self.tag[node]
+            if up >= 0:
+                self.article[node], self.link[node], headed[node] = self.article[up], self.link[up], headed[up]
+                self.inner[node], self.outer[node] = self.inner[up], self.outer[up]
+            if tag in ("article", "main"):
+                self.article[node] = node
+            if tag == "a":
+                self.link[node] = node
+            if tag in HEADINGS:
+                headed[node] = True
+            if tag in CONTAINERS:
+                self.inner[node], self.outer[node] = node, self.inner[node]
+        for node, text in self.texts:
+            if text and not self.state[node] and not headed[node]:
+                (linked if self.link[node] >= 0 else prose)[node + 1] += len(text.strip())
+        for node in range(size):
+            prose[node + 1] += prose[node]
+            linked[node + 1] += linked[node]
+        self.grown = [0] * size
+        for node in range(1, size):
+            up, end = self.parent[node], self.end[node]
+            self.grown[node] = node
+            if up > 0 and self.tag[up] not in ("body", "html"):
+                own = prose[end] - prose[node]
+                beside = prose[self.end[up]] - prose[up] - own
+                links = linked[self.end[up]] - linked[up] - (linked[end] - linked[node])
+                if not beside + links or beside < own and 3 * links <= beside + links:
+                    self.grown[node] = self.grown[up]
+
+    def paths(self) -> list[bytes]:
+        """Depth and digest of every element's path: its tag and classes without numbers, below its parent's."""
+        out, depth = [b"\0" * 16], [0]
+        for node in range(1, len(self.tag)):
             words = sorted(set(_NUMBER.sub("#", self.classes[node]).split()))
-            parts.append(".".join([self.tag[node], *words]))
-            node = self.parent[node]
-        return ">".join(reversed(parts))
+            depth.append(depth[self.parent[node]] + 1)
+            part = ".".join([self.tag[node], *words]).encode("utf-8", "replace")
+            digest = hashlib.blake2b(out[self.parent[node]] + part, digest_size=14).digest()
+            out.append(min(depth[node], 65535).to_bytes(2) + digest)
+        return out
 
     def scores(self) -> dict[int, float]:
-        """Text of each container's own blocks, and half of that of the containers right below."""
+        """Text of each container's own blocks, and half of that of the containers right below, without links."""
         out: dict[int, float] = {}
         for node, text in self.texts:
-            if not text or self.state[node]:
+            inner, outer = self.inner[node], self.outer[node]
+            if not text or self.state[node] or self.link[node] > outer:
                 continue
             n = len(text.strip())
-            holders = []
-            while node >= 0 and len(holders) < 2:
-                if self.tag[node] == "a":
-                    n = 0
-                    break
-                if self.tag[node] in CONTAINERS:
-                    holders.append(node)
-                node = self.parent[node]
-            for k, holder in enumerate(holders):
-                out[holder] = out.get(holder, 0.0) + n / (1 + k)
+            for k, holder in enumerate((inner, outer)):
+                if holder >= 0:
+                    out[holder] = out.get(holder, 0.0) + n / (1 + k)
         return {k: v for k, v in out.items() if v > 0}
 
     def widen(self, node: int) -> int:
-        """The article around a container; or what holds, besides it, only headings."""
-        up = node
-        while up > 0:
-            if self.tag[up] in ("article", "main"):
-                return up
-            up = self.parent[up]
-        while (above := self.parent[node]) > 0 and self.tag[above] not in ("body", "html"):
-            for i, text in self.texts:
-                inside = above <= i < self.end[above] and not node <= i < self.end[node]
-                if inside and text.strip() and not self.state[i] and not self._headed(i):
-                    return node
-            node = above
-        return node
-
-    def _headed(self, node: int) -> bool:
-        while node > 0:
-            if self.tag[node] in HEADINGS:
-                return True
-            node = self.parent[node]
-        return False
+        """The article around a container; without one, what holds it and besides only headings or less prose."""
+        return self.article[node] if self.article[node] > 0 else self.grown[node]
 
     def best(self) -> tuple[int, float]:
         """The best container and its score; (-1, 0) if the page has no text to keep."""
@@ -285,23 +312,29 @@ class Page:
         node = max(scores, key=lambda i: (scores[i], -i))
         return self.widen(node), scores[node]
 
-    def text_of(self, node: int) -> str:
-        first, last = node, self.end[node]
-        parts = [(" " if not t else t) for i, t in self.texts if first <= i < last and self.state[i] == 0]
-        return " ".join(entities.unescape("".join(parts)).split())
-
-    def extract(self, winners: list[str]) -> str:
-        """Text under the first of the winning paths that holds any, else under the page's own best."""
-        if winners:
-            scores = self.scores()
-            held: dict[str, list[int]] = {}
-            for node in sorted({self.widen(i) for i in scores} | set(scores)):
-                held.setdefault(self.path(node), []).append(node)
-            for path in winners:
-                nodes = held.get(path, [])
-                outer = [n for n in nodes if not any(m < n < self.end[m] for m in nodes)]
-                if text := " ".join(filter(None, map(self.text_of, outer))):
-                    return text
+    def held(self) -> list[int]:
+        """Containers with text to keep, and what they grow to, in page order."""
+        scores = self.scores()
+        return sorted({self.widen(i) for i in scores} | set(scores))
+
+    def text_of(self, *nodes: int) -> str:
+        """Text in elements given in page order, none inside another."""
+        parts: list[list[str]] = [[] for _ in nodes]
+        for i, t in self.texts:
+            k = bisect_right(nodes, i) - 1
+            if k >= 0 and i < self.end[nodes[k]] and self.state[i] == 0:
+                parts[k].append(t or " ")
+        return " ".join(filter(None, (" ".join(entities.unescape("".join(p)).split()) for p in parts)))
+
+    def extract(self, path: bytes | None = None) -> str:
+        """Text of the containers with a path, else of the page's own best."""
+        if path:
+            paths, outer = self.paths(), []
+            for node in self.held():
+                if paths[node] == path and (not outer or node >= self.end[outer[-1]]):
+                    outer.append(node)
+            if text := self.text_of(*outer):
+                return text
         node, _ = self.best()
         return self.text_of(node) if node >= 0 else ""
 
@@ -311,44 +344,64 @@ def host_of(url: str = "url"):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def votes(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """Pages and score behind every path a host's pages voted for: host, path, pages, score."""
+def _keyed(pages: DataFrame, html: str, url: str):
+    """Host, and a key that pages of the same host and text share."""
+    host = host_of(url)
+    return host, F.unhex(F.sha2(F.concat_ws("\n", host, F.col(html)), 256))
+
 
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def page_paths(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """Of every page with text: host, key, path of the best container, its score, and all paths it holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, paths, scores = [], [], []
-            for host, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            hosts, keys, best, scores, held = [], [], [], [], []
+            for host, key, text in zip(*(batch.column(n).to_pylist() for n in ("host", "key", "html"))):
                 page = Page(text or "")
                 node, score = page.best()
                 if node >= 0:
+                    paths = page.paths()
                     hosts.append(host)
-                    paths.append(page.path(node))
+                    keys.append(key)
+                    best.append(paths[node])
                     scores.append(score)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())], names=["host", "path", "score"])
+                    held.append(sorted({paths[i] for i in page.held()}))
+            columns = [pa.array(hosts, pa.string()), pa.array(keys, pa.binary()), pa.array(best, pa.binary()), pa.array(scores, pa.float64()), pa.array(held, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "key", "path", "score", "held"])
+
+    host, key = _keyed(pages, html, url)
+    given = pages.select(host.alias("host"), key.alias("key"), F.col(html).alias("html"))
+    return given.mapInArrow(run, "host string, key binary, path binary, score double, held array<binary>")
+
+
+def votes(paths: DataFrame) -> DataFrame:
+    """Pages and score behind every path a host's pages voted for: host, path, pages, score."""
+    return paths.groupBy("host", "path").agg(F.count("*").alias("pages"), F.sum("score").alias("score"))
+
 
-    each = pages.select(host_of(url).alias("host"), F.col(html).alias("html")).mapInArrow(vote, "host string, path string, score double")
-    return each.groupBy("host", "path").agg(F.count("*").alias("pages"), F.sum("score").alias("score"))
+def winners(paths: DataFrame) -> DataFrame:
+    """The path a page follows, by its key: of all it holds, the one with most votes of its host."""
+    held = paths.select("host", "key", F.explode("held").alias("path")).join(votes(paths), ["host", "path"])
+    first = F.min(F.struct((-F.col("pages")).alias("order"), "path"))["path"]
+    return held.groupBy("key").agg(first.alias("path"))
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url", into: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """Adds the main text of every page and its number of code points."""
-    order = Window.partitionBy("host").orderBy(F.desc("pages"), F.asc("path"))
-    ranked = votes(pages, html, url).withColumn("n", F.row_number().over(order)).where(F.col("n") <= PATHS_PER_HOST)
-    winners = ranked.groupBy("host").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "path"))), lambda x: x["path"]).alias("paths"))
-    # Written, so that Spark knows its size and broadcasts it only if it is small.
-    winners = materialize(pages.sparkSession, winners, "host-paths")
+    spark = pages.sparkSession
+    followed = materialize(spark, winners(materialize(spark, page_paths(pages, html, url), "page-paths")), "page-winners")
     kept = [f for f in pages.schema.fields if f.name not in (into, n_chars)]
     names = [f.name for f in kept]
-    given = pages.select(F.struct(*dict.fromkeys([*names, html])).alias("row"), host_of(url).alias("host")).join(winners.withColumnRenamed("host", "of"), F.col("host") == F.col("of"), "left")
+    # The winners are as many as the pages, so their side is never broadcast; keys are digests, so no host is hot.
+    given = pages.select(F.struct(*dict.fromkeys([*names, html])).alias("row"), _keyed(pages, html, url)[1].alias("key"))
+    given = given.join(followed.hint("shuffle_hash"), "key", "left")
     schema = T.StructType([*kept, T.StructField(into, T.StringType()), T.StructField(n_chars, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                Page(text).extract(paths or []) if text else ""
-                for text, paths in zip(batch.column("row").field(html).to_pylist(), batch.column("paths").to_pylist())
-            ]
+            texts, paths = batch.column("row").field(html).to_pylist(), batch.column("path").to_pylist()
+            found = [Page(text).extract(path) if text else "" for text, path in zip(texts, paths)]
             columns = [*map(batch.column("row").field, names), pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, into, n_chars])
 
-    return given.select("row", "paths").mapInArrow(run, schema)
+    return given.select("row", "path").mapInArrow(run, schema)
