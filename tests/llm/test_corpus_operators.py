@@ -173,49 +173,83 @@ def test_run_index():
     assert index.owned_before(owners).tolist() == expected
 
 
-def test_language_model(spark):
-    texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + [(1000, None), (1001, ""), (1001, "the the Q")]
-    train = {i: zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in texts}
+def brute_katz(texts, train, order):
+    """Scores by (id, tokens), and p(word, history), from plain counters."""
     tokens = [(i, [*split(t), None]) for i, t in texts]
-    one, two = Counter(), Counter()
+    grams = [Counter() for _ in range(order + 1)]  # by length
     for i, t in tokens:
+        padded = ["<s>"] * (order - 1) + t
         if train[i]:
-            one.update(t)
-            two.update(zip(["<s>", *t[:-1]], t))
-    total = sum(one.values())
-    factors = [ngrams.discounts(np.array([sum(x == r for x in c.values()) for r in range(1, ngrams.TOP + 2)])) for c in (one, two)]
-    less = lambda d, r: d[r] * r if r <= ngrams.TOP else r
-    unknown = 1 - sum(less(factors[0], x) for x in one.values()) / total
-    word = lambda w: less(factors[0], one[w]) / total if w in one else unknown
+            for n in range(1, order + 1):
+                grams[n].update(tuple(padded[j - n + 1 : j + 1]) for j in range(order - 1, len(padded)))
+    total = sum(grams[1].values())
+    factors = [None, *(ngrams.discounts(np.array([sum(x == r for x in c.values()) for r in range(1, ngrams.TOP + 2)])) for c in grams[1:])]
+    less = lambda n, r: factors[n][r] * r if r <= ngrams.TOP else r
+    unknown = 1 - sum(less(1, x) for x in grams[1].values()) / total
     before, used, share, discounted = Counter(), Counter(), Counter(), set()
-    for (v, w), x in two.items():
-        before[v] += x
-        used[v] += less(factors[1], x)
-        share[v] += word(w)
-        if x <= ngrams.TOP:
-            discounted.add(v)
-
-    def p(w, v):
-        scale = 1 if v in discounted or v not in before else before[v] / (before[v] + 1)
-        if (v, w) in two:
-            return scale * less(factors[1], two[v, w]) / before[v]
-        return word(w) * ((1 - scale * used[v] / before[v]) / (1 - share[v]) if v in before else 1)
-
-    for v in ("<s>", "the", max(before, key=before.get), min(before, key=lambda x: (before[x], str(x)))):
-        assert math.isclose(sum(p(w, v) for w in one) + p("\0", v), 1, rel_tol=1e-9)
-    rows = spark.createDataFrame(texts, "doc_id long, text string")
+
+    def p(w, h):
+        if not h:
+            return less(1, grams[1][w,]) / total if (w,) in grams[1] else unknown
+        # Histories of one length only: a text's first token has the same one at every length, under its own padding.
+        h = tuple(h)
+        scale = 1 if h in discounted or h not in before else before[h] / (before[h] + 1)
+        if (*h, w) in grams[len(h) + 1]:
+            return scale * less(len(h) + 1, grams[len(h) + 1][(*h, w)]) / before[h]
+        return p(w, h[1:]) * ((1 - scale * used[h] / before[h]) / (1 - share[h]) if h in before else 1)
+
+    for n in range(2, order + 1):
+        for g, x in grams[n].items():
+            before[g[:-1]] += x
+            used[g[:-1]] += less(n, x)
+            share[g[:-1]] += p(g[-1], g[1:-1])
+            if x <= ngrams.TOP:
+                discounted.add(g[:-1])
+    one, rows = {g[0] for g in grams[1]}, []
+    for i, t in tokens:
+        padded = ["<s>"] * (order - 1) + t
+        score = sum(math.log10(p(padded[j], padded[j - order + 1 : j])) for j in range(order - 1, len(padded)))
+        base = sum(math.log10((grams[1][w,] + 1) / (total + len(one) + 1)) for w in t)
+        rows.append((i, len(t), sum(w in one for w in t), total, base, score))
+    return sorted(rows), p, one, [h for h in before if len(h) == order - 1]
+
+
+KATZ = [(1000, None), (1001, ""), (1001, "the the Q"), (1002, "ab  ab\tab ab " * 3000), (1003, "the of the of the zz"), (1004, "the of the of the zz"), (1005, "\x0b \n")]
+
+
+@pytest.mark.parametrize("order, hot, size", [(1, 400_000, None), (2, 400_000, None), (2, 40, 20_000), (3, 400_000, None), (3, 25, 20_000)])
+def test_language_model(spark, monkeypatch, order, hot, size):
+    """Small ``hot`` splits contexts by the next word; small ``size`` makes many groups and parts."""
+    if size:
+        monkeypatch.setattr(ngrams, "GROUP_BYTES", size)
+        monkeypatch.setattr(ngrams, "PART_BYTES", size)
+    texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + KATZ
+    train = {i: zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in texts}
+    expected, p, one, histories = brute_katz(texts, train, order)
+    for h in [histories[0], histories[-1], max(histories, key=str)] if order > 1 else []:
+        assert math.isclose(sum(p(w, h) for w in one) + p("\0", h), 1, rel_tol=1e-9)
+    rows = spark.createDataFrame([(*r, 1, "x", 0.5) for r in texts], "doc_id long, text string, _g long, part string, score double")
     flag = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
-    found = sorted(map(tuple, ngrams.score(rows, flag).collect()))
-    expected = sorted(
-        (i, len(t), sum(w in one for w in t), total, sum(math.log10((one[w] + 1) / (total + len(one) + 1)) for w in t), sum(math.log10(p(w, v)) for v, w in zip(["<s>", *t[:-1]], t)))
-        for i, t in tokens
-    )
+    found = sorted(map(tuple, ngrams.score(rows, flag, order=order, hot=hot).collect()))
     assert [f[:4] for f in found] == [e[:4] for e in expected]
     assert np.allclose([f[4:] for f in found], [e[4:] for e in expected], rtol=1e-9)
     held = [f for f in found if not train[f[0]]]
-    assert sum(f[5] for f in held) > sum(f[4] for f in held)
-    assert [r["score"] for r in ngrams.score(rows.limit(3), F.lit(False)).collect()] == [0.0] * 3
-    assert ngrams.score(rows.limit(0), flag).count() == 0
+    assert order == 1 or sum(f[5] for f in held) > sum(f[4] for f in held)
+    assert [r["score"] for r in ngrams.score(rows.limit(3), F.lit(False), order=order).collect()] == [0.0] * 3
+    assert ngrams.score(rows.limit(0), flag, order=order).count() == 0
+
+
+def test_frequent_contexts_are_split():
+    """No part gets more of one context than a salt leaves; every part's sums add up to the context's."""
+    texts = [f"the w{i} the w{i + 1}" for i in range(400)]
+    own = ngrams._Tokens(pa.table({"text": texts, "train": [True] * 400, "_g": pa.array([0] * 400, pa.int64())}))
+    grams = ngrams._Grams(own, own.contexts(2, None))
+    followers = np.bincount(grams.context)
+    bits = ngrams._salt_bits(followers, 50)
+    grams.deal(bits, 64)
+    size = np.diff(grams.runs)
+    assert followers.max() > 400 and size.max() < 100 and size.sum() == len(grams.at)
+    assert (np.bincount(grams.context[grams.order][grams.runs[:-1]], size) == followers).all()
 
 
 VECTORS = [(i, [math.sin(i * j + 1) for j in range(1, 9)]) for i in range(300)]
