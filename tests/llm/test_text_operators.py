@@ -115,6 +115,70 @@ def test_held_out_language(spark):
     assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.93
 
 
+def test_language_sizes_against_brute_force(spark):
+    """The registered query, from the dictionaries on, compressed once more by plain loops."""
+    import zstandard
+
+    from tidemark.llm.queries import op10_language
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = language.fit(docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
+
+    def sizes(text, level):
+        out = []
+        for content in model.dictionaries:
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(level=level)
+            compress = zstandard.ZstdCompressor(dict_data=known, write_content_size=False, write_dict_id=False).compress
+            data, total = text.lower().encode(), 0
+            n = math.ceil(len(data) / 4096)
+            for i in range(n):
+                block = b" " + data[len(data) * i // n : len(data) * (i + 1) // n]
+                times = math.ceil(1024 / len(block))
+                for _ in range(min(times, len(block))):
+                    total += len(compress(block * times))
+                    block = block[1:] + block[:1]
+            out.append(total)
+        return out
+
+    def expected(text):
+        if text is None or not any(c.isalpha() for c in text):
+            return "und", 0.0
+        found = sizes(text, 3)
+        for again in (False, True):
+            if again:
+                found = [x + y for x, y in zip(found, sizes(text, 9))]
+            low, second = sorted(found)[:2]
+            if (second - low) / second >= 0.02:
+                break
+        return model.languages[found.index(low)], (second - low) / second
+
+    texts = {r["doc_id"]: r["text"] for r in docs.orderBy("doc_id").limit(40).collect()}
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in op10_language(spark, sf).collect()}
+    assert len(found) == docs.count()
+    for i, text in texts.items():
+        want = expected(text)
+        assert found[i][0] == want[0] and math.isclose(found[i][1], want[1])
+
+
+def test_short_texts_are_told_by_compressed_sizes(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL")
+    model = language.fit(docs.where("doc_id % 2 = 0"))
+    held = docs.where("doc_id % 2 = 1 AND length(text) > 300").orderBy("doc_id").limit(300).collect()
+    asked = []
+    for i, r in enumerate(held):
+        at = r["text"].find(" ", i % 40) + 1
+        asked += [(r["lang"], n, r["text"][at : at + n]) for n in (10, 20, 40, 80, 127, 128, 300)]
+    asked = [x for x in asked if any(map(str.isalpha, x[2]))]
+    rows = spark.createDataFrame(asked, "lang string, n int, text string")
+    right = F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))
+    found = {r["n"]: r["right"] for r in language.identify(rows, model).groupBy("n").agg(right.alias("right")).collect()}
+    assert found[10] > 0.9 and min(v for n, v in found.items() if n > 10) > 0.95, found
+    assert language.identify(spark.createDataFrame([(None, "a", "the sea")], "doc_id long, LANG_PRED_ string, text string"), model).first()["doc_id"] is None
+
+
 def test_one_sentence_documents_keep_their_language(spark):
     import corpus_pipeline
 
