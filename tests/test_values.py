@@ -1,12 +1,16 @@
 import datetime as dt
+import hashlib
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from checks import table_queries
 from tidemark.functions import paths
 from tidemark.functions.values import csv_field, list_items, lsn_number, scope_items, soft_cast
+from tidemark.registry import table
+from tidemark.session import configure
 
 
 def one(spark, expression):
@@ -100,3 +104,17 @@ def test_paths(spark):
 def test_listing_time(spark):
     got = one(spark, paths.listing_time(text("Mon, 01 Jan 2024 10:00:00 GMT")).cast("timestamp_ntz"))
     assert got == dt.datetime(2024, 1, 1, 10)
+
+
+def test_wide_rows_run_in_methods_the_jvm_compiles(spark):
+    """HotSpot interprets methods above 8,000 bytes; a fused stage of 46 columns is far above it."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", 65535)
+    assert int(configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+@pytest.mark.parametrize("value", [True, False, None])
+def test_hash_of_a_boolean_is_that_of_its_text(spark, value):
+    spec = table("PAYTYPE")
+    column = next(c for c in spec.file_columns if c.type == "boolean")
+    row = spark.createDataFrame([(value,)], f"`{column.name}` boolean").select(F.expr(table_queries._print_of(spec, column))).first()
+    assert row[0] == (None if value is None else int(hashlib.md5(str(value).lower().encode()).hexdigest()[:8], 16))
